@@ -48,16 +48,27 @@ def key_of(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
 
 
-def only_ids(docs: DataFrame, ids: DataFrame, key: str, bits: int = 23) -> DataFrame:
-    """Rows of docs whose key may be in ids: a bitmap of 2**bits hashed keys, so at most 1 MB is
-    broadcast whatever the size of ids. False positives stay in; an exact join must follow."""
+def _in_bitmap(docs: DataFrame, ids: DataFrame, key: str, bits: int) -> DataFrame:
+    """docs with _hit: whether the key may be in ids. A bitmap of 2**bits hashed keys tells, so at most 1 MB is broadcast
+    whatever the size of ids."""
     at = lambda c: F.shiftrightunsigned(F.xxhash64(c), 64 - bits)
     bitmap = ids.select(at(F.col(key)).alias("h")).groupBy(F.bitmap_bucket_number("h").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_bits"))
-    bitmap = staged(bitmap.coalesce(1), "bitmap")
-    wide = docs.withColumn("_h", at(F.col(key))).withColumn("_bucket", F.bitmap_bucket_number("_h"))
-    joined = wide.join(F.broadcast(bitmap), "_bucket")
+    bitmap = staged(bitmap, "bitmap")
+    wide = docs.withColumn("_h", at(F.col(key))).withColumn("_bucket", F.bitmap_bucket_number("_h")).join(F.broadcast(bitmap), "_bucket", "left")
     byte = F.conv(F.hex(F.expr("substring(_bits, cast(bitmap_bit_position(_h) div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    return joined.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(_h) % 8 as int))")) != 0).select(*docs.columns)
+    bit = byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(_h) % 8 as int))"))
+    return wide.select(*docs.columns, F.coalesce(bit != 0, F.lit(False)).alias("_hit"))
+
+
+def only_ids(docs: DataFrame, ids: DataFrame, key: str, bits: int = 23) -> DataFrame:
+    """Rows of docs whose key may be in ids. False positives stay in; an exact join must follow."""
+    return _in_bitmap(docs, ids, key, bits).where("_hit").drop("_hit")
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, key: str, bits: int = 23) -> DataFrame:
+    """Rows of docs whose key is not in ids. Only those that the bitmap can't tell are shuffled."""
+    known = _in_bitmap(docs, ids, key, bits)
+    return known.where("not _hit").drop("_hit").unionByName(known.where("_hit").drop("_hit").join(ids.select(key), key, "left_anti"))
 
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, packing
+from . import decontaminate, exact_dedup, jaccard_join, langid, packing, quality, secret_scan, substring_dedup, suffix_dedup, url_filter
 from .common import documents
 
 
@@ -16,25 +16,73 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path())
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(documents(spark, sf_dir))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(documents(spark, sf_dir, "pages")).drop("weight")
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digest(documents(spark, sf_dir))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_components(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
+    "op3_quality": op3_quality,
     "op4_decontamination": op4_decontamination,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_url_filter": op6_url_filter,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
+def _terms(terms: tuple[str, ...]) -> list[str]:
+    return [f"regexp_matches(u, '(^|[^\\p{{L}}]){t}($|[^\\p{{L}}])')" for t in terms]
+
+
 ORACLE_SQL = {
+    "op1_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(generate_series(1, len(w) - 19)) AS i, w FROM d WHERE len(w) >= 20),
+k AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS n FROM p),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS q FROM k WHERE n > 1),
+words AS (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS q FROM d),
+left_over AS (SELECT words.doc_id, string_agg(x, ' ' ORDER BY words.q) AS kept, count(*) AS n FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.q = gone.q GROUP BY words.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over ON d.doc_id = left_over.doc_id""",
     "op4_decontamination": r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), '[^ ]+') AS w FROM documents),
 bw AS (SELECT item_id, regexp_extract_all(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), '[^ ]+') AS w FROM benchmark),
@@ -55,3 +103,19 @@ r AS (SELECT doc_id, norm, first_value(doc_id) OVER (PARTITION BY norm ORDER BY
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM r""",
 }
 
+
+_STRICT, _SOFT = (_terms(x) for x in (url_filter.STRICT, url_filter.SOFT))
+_HIT = " OR ".join(_STRICT) + " OR " + " + ".join(f"CAST({x} AS INTEGER)" for x in _SOFT) + " >= 2"
+ORACLE_SQL["op6_url_filter"] = rf"""
+WITH s AS (SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS u,
+  CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, u, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM s),
+r AS (SELECT *, '.' || host AS dotted FROM h),
+j AS (SELECT page_id, host, path, CASE
+    WHEN dotted LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN dotted LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN dotted LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN dotted LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN dotted LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule, {_HIT} AS hit FROM r)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN hit THEN 'block' ELSE 'allow' END AS verdict FROM j"""
