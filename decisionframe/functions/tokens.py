@@ -12,10 +12,8 @@ MOST_QUESTION, MOST_OPTION = 128, 48
 
 def byte_ids(c: Column) -> Column:
     """4 + each UTF-8 byte."""
-    hexed = F.hex(F.encode(F.coalesce(c, F.lit("")), "UTF-8"))
-    n = (F.length(hexed) / 2).cast("int")
-    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.conv(F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + FIRST_BYTE)
+    pairs = F.filter(F.split(F.hex(F.encode(F.coalesce(c, F.lit("")), "UTF-8")), r"(?<=\G.{2})"), lambda x: x != "")
+    return F.transform(pairs, lambda x: F.conv(x, 16, 10).cast("int") + FIRST_BYTE)
 
 
 def assemble(question: Column, options: Column, state: Column, most: int = 512, most_question: int = MOST_QUESTION, most_option: int = MOST_OPTION) -> Column:

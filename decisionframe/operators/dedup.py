@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,24 +47,34 @@ def first_wins(df: DataFrame, key: Column, *order: str) -> DataFrame:
     return keyed_.join(winners, (keyed_["_key"] == winners["_key"]) & (struct == F.col("_win"))).drop(winners["_key"]).drop("_key", "_win")
 
 
-def grams(text: Column, n: int = 3) -> Column:
-    """Word n-grams of the normalised text; all of its words if there are fewer."""
-    words = F.filter(F.split(norm_text(text), " "), lambda w: w != "")
-    places = F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1)))
-    return F.transform(places, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+def grams(text: str, n: int = 3) -> list[str]:
+    """Word n-grams of a normalised text; all of its words if there are fewer."""
+    words = text.split()
+    return [" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))]
 
 
-def signatures(df: DataFrame, text: Column, *keep: str) -> DataFrame:
-    """keep (which names a row), the 64-bit simhash as halves hi and lo, and ex, the hash of the normalised text.
+def simhash(text: str) -> tuple[int, int]:
+    """64-bit simhash of a normalised text as two 32-bit halves: a bit is set if more grams have it than not, by the first
+    eight bytes of their md5."""
+    digests = b"".join(hashlib.md5(g.encode()).digest()[:8] for g in grams(text))
+    votes = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 8), axis=1)
+    bits = np.packbits(votes.sum(axis=0) * 2 > len(votes))
+    return int.from_bytes(bits[:4].tobytes(), "big"), int.from_bytes(bits[4:].tobytes(), "big")
 
-    A bit is set if more grams have it than not. Every gram is hashed once; the 64 counts of a row are summed where the row is,
-    so only one line for each row is shuffled."""
-    rows = df.select(*keep, h60(norm_text(text)).alias("ex"), F.explode(grams(text)).alias("_g")).withColumn("_m", F.md5("_g"))
-    rows = rows.select(*keep, "ex", *(F.conv(F.substring("_m", start, 8), 16, 10).cast("long").alias(c) for c, start in (("_h", 1), ("_l", 9))))
-    bit = lambda c, b: F.sum(F.shiftright(c, b).bitwiseAND(F.lit(1))).alias(f"{c}{b}")
-    votes = rows.groupBy(*keep, "ex").agg(F.count("*").alias("_n"), *(bit(c, b) for c in ("_h", "_l") for b in range(32)))
-    half = lambda c: sum((F.when(F.col(f"{c}{b}") * 2 > F.col("_n"), 1 << b).otherwise(0).cast("long") for b in range(1, 32)), F.when(F.col(f"{c}0") * 2 > F.col("_n"), 1).otherwise(0).cast("long"))
-    return votes.select(*keep, half("_h").alias("hi"), half("_l").alias("lo"), "ex")
+
+def _simhashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        halves = [simhash(t) for t in batch.column(1).to_pylist()]
+        yield pa.record_batch([batch.column(0), pa.array([h for h, _ in halves], pa.int64()), pa.array([x for _, x in halves], pa.int64()), batch.column(2)], names=["key", "hi", "lo", "ex"])
+
+
+def signatures(df: DataFrame, text: Column, key: str) -> DataFrame:
+    """key, the simhash halves hi and lo, and ex, the hash of the normalised text. The texts are normalised in the JVM; hashing
+    every gram once and voting by whole arrays is what built-in functions can't do without hashing a gram for each bit."""
+    rows = df.select(F.col(key).cast("string").alias("key"), norm_text(text).alias("text"))
+    rows = rows.select("key", "text", h60(F.col("text")).alias("ex"))
+    out = rows.mapInArrow(_simhashes, "key string, hi long, lo long, ex long")
+    return out.select(F.col("key").cast(df.schema[key].dataType).alias(key), "hi", "lo", "ex")
 
 
 def distance(a: str, b: str) -> Column:
