@@ -8,10 +8,11 @@ parts with at most POOR set bits are left out by documents with no more than `sp
 the guarantee and drops the parts that unrelated documents share by having nothing in them.
 
 Documents with equal sets are one class first. Equal parts meet at their owners, where each document
-is paired with the smallest of its part only; these stars are verified and give components. Then, in
-parts whose documents are in different components, the pairs across components that a 512-bit sketch
-does not rule out are verified as well, so no link between components is lost and no pairs are
-enumerated within them.
+is paired with the smallest of its part only; these stars are verified and give components. Where
+components still meet in a part, a few rounds of stars about other documents follow: first the one
+that shares most parts, as an original does that all copies are near to, then random ones. Then the
+pairs across components that a 512-bit sketch does not rule out are verified as well, so no link
+between components is lost and no pairs are enumerated within them.
 
 Defined cases: a document without words or a null text has an empty set and is linked with nothing;
 one with fewer words than a shingle has one shingle of all its words; a null doc_id sorts before all
@@ -38,6 +39,8 @@ SHINGLE, PERCENT = 4, 85
 RATIO_SPARE, POOR, PART_BITS = 0.2, 1, 16
 #: 64-bit words of the sketch that pairs across components are compared by.
 SKETCH = 8
+#: Rounds of stars before pairs across components are looked at.
+ROUNDS = 4
 MEMBER = np.dtype([("key", "<u8"), ("doc", "<i8")])
 #: Part keys that a task holds before it compares and sends them.
 HELD = 2_000_000
@@ -253,6 +256,25 @@ def _ruled_in(percent: int) -> Column:
     return (apart * (100 + percent) <= (F.col("l.n") + F.col("r.n")) * (100 - percent)) & (F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * percent)
 
 
+def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """part_key, doc, comp of the parts in which documents of different components meet."""
+    known = members.join(comps.select(F.col("node").alias("doc"), "comp"), "doc", "left").select("part_key", "doc", F.coalesce("comp", "doc").alias("comp"))
+    mixed = known.groupBy("part_key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("part_key")
+    return known.join(mixed, "part_key", "left_semi")
+
+
+def _star_pairs(open_: DataFrame, r: int) -> DataFrame:
+    """One partner (a < b) for each document: of the first ones by this round's order in its parts, the very first."""
+    if r == 0:
+        order = open_.groupBy("doc").agg((-F.count("*")).alias("o"))
+        ranked = open_.join(order, "doc")
+    else:
+        ranked = open_.withColumn("o", F.xxhash64("doc", F.lit(r)))
+    heads = ranked.groupBy("part_key").agg(F.min(F.struct("o", "doc", "comp")).alias("h"))
+    first = open_.join(heads, "part_key").where("h.comp <> comp").groupBy("doc").agg(F.min("h").alias("h"))
+    return first.select(F.least("doc", "h.doc").alias("a"), F.greatest("doc", "h.doc").alias("b")).distinct()
+
+
 def linked_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, owners: int | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -266,7 +288,7 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, size: int = SHING
     of_class = info.where("n > 0").join(copies, ["n", "one", "two"]).where("key <> rep").select("key", "rep")
     of_class = staged(of_class.groupBy("key").agg(F.min("rep").alias("rep")), "copies")
     sent = without_ids(rows, of_class.select("key"), "key").mapInArrow(_send(percent, size, owners), SENT)
-    stars = staged(sent.repartition(n, "part").mapInArrow(_meet, STAR), "stars")
+    stars = staged(sent.repartitionById(n, F.expr(f"pmod(part, {n})")).mapInArrow(_meet, STAR), "stars")
     # each document's smallest partner first, which joins most groups
     nearest = staged(stars.groupBy("doc").agg(F.min("head").alias("head")), "nearest")
     wanted = staged(stars.select(F.col("doc").alias("key")).unionByName(stars.select(F.col("head").alias("key"))).distinct(), "wanted")
@@ -274,15 +296,21 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, size: int = SHING
     tried = verified(nearest.select(F.col("head").alias("a"), F.col("doc").alias("b")), sets, percent)
     edges = tried.where("linked").select("a", "b")
     comps = components(edges)
-    # parts in which documents of different components meet
-    label = lambda name: comps.select(F.col("node").alias(name), F.col("comp").alias(f"{name}_comp"))
-    known = stars.join(label("doc"), "doc", "left").join(label("head"), "head", "left")
-    known = known.select("part_key", "head", "doc", F.coalesce("doc_comp", "doc").alias("doc_comp"), F.coalesce("head_comp", "head").alias("head_comp"))
-    known = staged(known, "known")
-    mixed = known.where("doc_comp <> head_comp").select("part_key").distinct()
-    open_ = known.join(mixed, "part_key", "left_semi")
-    members = open_.select("part_key", F.col("doc").alias("key"), F.col("doc_comp").alias("comp")).unionByName(open_.select("part_key", F.col("head").alias("key"), F.col("head_comp").alias("comp"))).distinct()
-    members = staged(members.join(sets.drop("shingles"), "key"), "members")
+    members = staged(stars.select("part_key", "doc").unionByName(stars.select("part_key", F.col("head").alias("doc"))).distinct(), "members")
+    for r in range(ROUNDS):
+        # where components still meet: everyone against the document that shares most parts, then against random ones
+        open_ = staged(_open(members, comps), "open")
+        if not open_.take(1):
+            break
+        pairs = _star_pairs(open_, r)
+        more = verified(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), sets, percent)
+        tried = tried.unionByName(more)
+        if more.where("linked").take(1):
+            edges = edges.unionByName(more.where("linked").select("a", "b"))
+            comps = components(edges)
+    # what is left: pairs across components that share a part
+    open_ = _open(members, comps)
+    members = staged(open_.withColumnRenamed("doc", "key").join(sets.drop("shingles"), "key"), "across")
     meet = (F.col("l.part_key") == F.col("r.part_key")) & (F.col("l.key") < F.col("r.key")) & (F.col("l.comp") != F.col("r.comp"))
     pairs = members.alias("l").join(members.alias("r"), meet & _ruled_in(percent)).select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
     more = verified(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), sets, percent).where("linked").select("a", "b")
