@@ -682,3 +682,111 @@ def flagship(spark, d):
     rows = toxic_records(spark, d).withColumns({"source_rank": F.lit(0), "row_ord": F.split_part("id", F.lit(":"), F.lit(2)).cast("long")})
     built = plan.build(rows, plan.Config())
     return built.groupBy("split", F.array_join("answer", ",").alias("answer")).agg(F.count("*").alias("n"))
+
+
+# --- tokens, batches, serving, synthesis, streams -----------------------------------------------------------------------
+
+
+@query("byte_tokens", "SELECT c_custkey, CAST(strlen(c_name) AS BIGINT) AS n, CAST(ascii(c_name) + 4 AS BIGINT) AS first FROM customer")
+def byte_tokens(spark, d):
+    from .functions.tokens import byte_ids
+
+    ids = byte_ids(F.col("c_name"))
+    return table(spark, d, "customer").select("c_custkey", F.size(ids).cast("long").alias("n"), F.get(ids, F.lit(0)).cast("long").alias("first"))
+
+
+@query("pack_training_rows")
+def pack_training_rows(spark, d):
+    return plan.pack(plan.build(all_records(spark, d).where("source <> 'doc'"), CONFIG)).select("id", "split", "len", "ans", "typ", F.size("pos").alias("options"))
+
+
+@query("make_batches")
+def make_batches(spark, d):
+    from .operators.batching import make_batches as cut
+
+    return cut(table(spark, d, "documents"), "doc_id", "n_chars", 50_000)
+
+
+def requests(spark, d) -> DataFrame:
+    turns = table(spark, d, "conversations").where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
+    kind = "struct<type:string,instructions:string,criteria:map<string,string>,threshold:double>"
+    q = lambda t, i, c: F.struct(F.lit(t).alias("type"), F.lit(i).alias("instructions"), (F.create_map(*[F.lit(x) for kv in c.items() for x in kv]) if c else F.create_map().cast("map<string,string>")).alias("criteria"), F.lit(None).cast("double").alias("threshold")).cast(kind)
+    many = {f"topic {i}": "" for i in range(40)}
+    questions = F.create_map(F.lit("polite"), q("noul", "Is the request polite?", {}), F.lit("topic"), q("choice", "What is it about?", many), F.lit("broken"), q("choice", "Only one?", {"one": ""}))
+    return turns.select(F.col("conv_id").cast("string").alias("request_id"), F.create_map(F.lit("text"), "text").alias("state"), questions.alias("questions"))
+
+
+@query("ask_many", """SELECT CAST(conv_id AS VARCHAR) AS request_id, 3 AS n, 'needs 2 to 255 options, has 1' AS error FROM conversations WHERE role = 'user' GROUP BY conv_id""")
+def ask_many(spark, d):
+    from .serve import ask
+
+    out = ask(requests(spark, d))
+    return out.select("request_id", F.size("answers").alias("n"), F.element_at("answers", F.lit("broken"))["error"].alias("error"))
+
+
+@query("tournament_choice")
+def tournament_choice(spark, d):
+    from .serve import ask
+
+    topic = F.element_at("answers", F.lit("topic"))
+    return ask(requests(spark, d)).select("request_id", topic["answer"].alias("answer"), F.round(F.aggregate(F.map_values(topic["probabilities"]), F.lit(0.0), lambda a, x: a + x), 2).alias("total"))
+
+
+@query("decide_priority", "SELECT 'priority:' || o_orderkey AS id, 'score' AS type FROM orders WHERE TRY_CAST(left(o_orderpriority, 1) AS INTEGER) BETWEEN 1 AND 5")
+def decide_priority(spark, d):
+    from .serve import decide
+
+    return decide(priority_records(spark, d).select("id", "state", "question", "options")).select("id", "type")
+
+
+@query("relevance_filter_topk")
+def relevance_filter_topk(spark, d):
+    from .scorer import LexicalScorer, score
+
+    rows = document_records(spark, d).withColumn("options", F.array(F.lit("the and of"), F.lit("der die das")))
+    scored = score(rows.select("id", "type", "state", "question", "options"), LexicalScorer())
+    return filters.relevant(scored.select("id", F.get("p", F.lit(0)).alias("p")), 0.6).limit(100)
+
+
+@query("synth_chain")
+def synth_chain(spark, d):
+    from . import synth
+
+    workers_import(spark)
+    return synth.make_examples(synth.jobs(spark, 4, 50), synth.FakeTeacher()).groupBy("type", "status", "reason").agg(F.count("*").alias("n"))
+
+
+@query("toy_sources")
+def toy_sources(spark, d):
+    from .sources.readers import toy
+
+    out = None
+    for name in ("stock", "cheapest", "tags", "delay"):
+        rows = toy(spark, name, 200)
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("source", invalid_reason().alias("reason")).groupBy("source", "reason").agg(F.count("*").alias("n"))
+
+
+@query("describe_plan", f"SELECT 'labels' AS kind, 'doc' AS key, 4 AS n FROM documents WHERE list_contains({sql_list(LANGS)}, lang) AND {sql_strip('text')} <> '' HAVING count(*) >= 50")
+def describe_plan(spark, d):
+    return augment.describe_plan(document_records(spark, d)).select("kind", "key", F.size("items").alias("n"))
+
+
+@query("windowed_events", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def windowed_events(spark, d):
+    from .streaming.ingest import windowed
+
+    rows = windowed(table(spark, d, "events"), "ts", "1 hour", "event_type")
+    return rows.select("start", "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("stream_jid_dedup_counts", "SELECT event_type AS type, count(DISTINCT user_id) AS n FROM events GROUP BY event_type")
+def stream_jid_dedup_counts(spark, d):
+    """The events as JSON files, read as a stream, each user and type once, counted."""
+    from .streaming.ingest import ingest
+
+    rows = table(spark, d, "events").select(F.concat_ws(":", "event_type", F.col("user_id").cast("string")).alias("jid"), F.col("event_type").alias("type"), F.lit("accepted").alias("status"))
+    base = dedup.shared_folder(spark, "stream")
+    rows.write.json(f"{base}/in")
+    ingest(spark, f"{base}/in", "jid string, type string, status string", f"{base}/out", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/out").groupBy("type").agg(F.count("*").alias("n"))

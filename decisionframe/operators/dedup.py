@@ -19,15 +19,19 @@ from ..functions.text import norm_text
 BANDS, MOST_BITS = 4, 3
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """df written to the folder spark.checkpoint.dir names and read back."""
-    spark: SparkSession = df.sparkSession
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that spark.checkpoint.dir names; in local mode, where that is unset, a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "decisionframe-stages")
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """df written to a shared folder and read back."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
