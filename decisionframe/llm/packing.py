@@ -14,6 +14,7 @@ partitioning of the input, the ids do not.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -37,6 +38,7 @@ ASCII_PIECES = re.compile(CONTRACTIONS + r"|[a-z]+|[0-9]|[^a-z0-9]+")
 LATIN = "a-zà-öø-ÿ"
 LATIN_WORD = re.compile(f"[{LATIN}]+")
 LATIN_PIECES = re.compile(CONTRACTIONS + f"|[{LATIN}]+|[0-9]|[!-/:-@\\[-`{{-~]+")
+LATIN_LOWER = {c: c + 32 for c in range(0xC0, 0xDF) if c != 0xD7}
 LATIN_ONLY = re.compile(f"[!-~{LATIN}]*")
 
 
@@ -47,11 +49,15 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+def little_endian(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Ids(dict):
     """Words (white space between them, ASCII lower case) to their ids as little-endian bytes. The tokenizer never joins
     across white space, so words can be kept; two generations bound what is kept."""
 
-    MOST = 150_000
+    MOST = 200_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -74,9 +80,9 @@ class Ids(dict):
         if word.isascii():
             found = ASCII_PIECES.findall(word.decode())
         else:
-            text = word.decode("utf-8", "replace")
-            if not LATIN_ONLY.fullmatch(text := "".join(c.lower() if "À" <= c <= "Þ" and c != "×" else c for c in text)):
-                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            text = word.decode("utf-8", "replace").translate(LATIN_LOWER)
+            if not LATIN_ONLY.fullmatch(text):
+                return little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
             found = LATIN_PIECES.findall(text)
         return b"".join([self.piece(x) for x in found])
 
@@ -84,13 +90,13 @@ class Ids(dict):
         out = self.pieces.get(text) or self.old[1].get(text)
         if out is None:
             plain = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
-            out = np.array([x.id for x in self.model.tokenize(plain)], "<u4").tobytes()
+            out = little_endian([x.id for x in self.model.tokenize(plain)])
         self.pieces[text] = out
         return out
 
     def document(self, text: bytes) -> bytes:
         if b"<|" in text:
-            return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+            return little_endian(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
         return b"".join(map(self.__getitem__, text.lower().split()))
 
 
