@@ -43,12 +43,11 @@ def record_key() -> Column:
 
 
 def first_wins(df: DataFrame, key: Column, *order: str) -> DataFrame:
-    """One row for each key, the first by order. An aggregate with map-side combine, so a hot key costs no more than others:
-    the order picks the winner and only winners are joined back."""
-    struct = F.struct(*order)
-    keyed_ = df.withColumn("_key", key)
-    winners = keyed_.groupBy("_key").agg(F.min(struct).alias("_win"))
-    return keyed_.join(winners, (keyed_["_key"] == winners["_key"]) & (struct == F.col("_win"))).drop(winners["_key"]).drop("_key", "_win")
+    """One row for each key, the first by order. An aggregate, so each task sends one row for a key at most and a hot key costs
+    no more than others; a window would gather all its rows."""
+    row = F.struct(*df.columns)
+    best = df.groupBy(key.alias("_key")).agg(F.min_by(row, F.struct(*order)).alias("_row"))
+    return best.select("_row.*")
 
 
 def grams(text: str, n: int = 3) -> list[str]:
