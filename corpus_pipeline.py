@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from decisionframe.llm.common import documents, staged
+from decisionframe.llm.common import documents, prepare, staged
 from decisionframe.llm.decontaminate import remove_documents
 from decisionframe.llm.exact_dedup import exact_dedup
 from decisionframe.llm.jaccard_join import near_dedup
@@ -21,14 +21,17 @@ LEAST_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return identified(docs, LEAST_SCORE)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return exact_dedup(docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return near_dedup(docs)
 
 
@@ -37,6 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return pack(docs, tokenizer_path())
 
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, U64, id_array, id_column, key_of, parts_of, slices, staged, text_buffer
+from .common import SPACES, U64, id_array, id_column, key_of, parts_of, rows_without, slices, staged, text_buffer
 
 #: Rows of one block at most: its fingerprints are held by one task.
 BLOCK_ROWS = 500_000
@@ -163,5 +163,4 @@ def exact_groups(docs: DataFrame, owners: int | None = None) -> DataFrame:
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """docs without the rows whose text an earlier choice repeats; all columns stay."""
-    gone = exact_groups(docs).where("not kept").select(key_of().alias("_gone"))
-    return docs.join(gone, key_of() == F.col("_gone"), "left_anti")
+    return rows_without(docs, exact_groups(docs).where("not kept").select(key_of()))

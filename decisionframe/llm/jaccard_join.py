@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, NULL_ID, U64, id_array, key_of, mix, only_ids, parts_of, slices, staged, text_buffer, without_ids, word_bounds, word_hashes
+from .common import IS_SPACE, NULL_ID, U64, id_array, key_of, mix, only_ids, parts_of, rows_without, slices, staged, text_buffer, without_ids, word_bounds, word_hashes
 from .components import components
 from .repeats import WORDS, changes
 
@@ -327,5 +327,4 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, size: int = SHING
 def near_dedup(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """docs with one document of each component, the one with the smallest doc_id; all columns stay."""
     found = linked_components(docs, percent, size)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key_of().alias("_gone"))
-    return docs.join(gone, key_of() == F.col("_gone"), "left_anti")
+    return rows_without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key_of()))

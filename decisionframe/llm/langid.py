@@ -27,13 +27,13 @@ from .common import id_array, id_column, slices, text_buffer
 BITS = 14
 BUCKETS = 1 << BITS
 #: Labelled documents that the weights are trained on at most, and passes over them.
-SAMPLE, EPOCHS = 4000, 2
+SAMPLE, EPOCHS = 2500, 2
 #: FTRL: step, its offset, L1 and L2.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-5
 #: Label mass spread over all languages while the temperature is fitted.
 SMOOTH = 0.02
 #: Bytes of text counted at a time: their dense counts fit in memory.
-SLICE = 1 << 20
+SLICE = 1 << 19
 FOLD = np.array([c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256)], np.uint8)
 LETTER = re.compile(r"[^\W\d_]")
 
