@@ -18,6 +18,8 @@ NULL_ID = -(2**63)
 #: White space of the word contracts: [\x20\x09-\x0D].
 SPACES = b" \t\n\x0b\x0c\r"
 U64 = np.uint64
+#: Rows of an Arrow batch at most.
+BATCH = 2000
 
 
 def stage_dir(spark: SparkSession) -> str:
@@ -71,6 +73,13 @@ def without_ids(docs: DataFrame, ids: DataFrame, key: str, bits: int = 23) -> Da
     return known.where("not _hit").drop("_hit").unionByName(known.where("_hit").drop("_hit").join(ids.select(key), key, "left_anti"))
 
 
+def rows_without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id is a key in gone (one column, never null). The rows travel as one struct, so no column
+    of docs can clash; texts are shuffled only where the bitmap can't tell."""
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), key_of().alias("_key"))
+    return without_ids(packed, staged(gone.toDF("_key"), "gone"), "_key").select("_row.*")
+
+
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows as one array, and the rows' offsets in it. Nulls are empty."""
     col = col.cast(pa.large_binary())
@@ -85,7 +94,7 @@ def id_array(col: pa.Array) -> np.ndarray:
     return col.cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
 
 
-def slices(batches: Iterator[pa.RecordBatch], most: int = 8 << 20, text: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], most: int = 4 << 20, text: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut by rows to about most bytes of text; a longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
@@ -155,7 +164,7 @@ def word_bounds(data: np.ndarray, off: np.ndarray, is_space: np.ndarray) -> tupl
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[list(SPACES)] = True
 #: Symbols per step of the byte fingerprints; bounds the memory of temporaries.
-STEP = 2 << 20
+STEP = 1 << 19
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rolling: Rolling, lower: bool = False) -> np.ndarray:
@@ -188,6 +197,15 @@ def workers_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (top, path) if x)
 
 
-def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Workers find the package, get Arrow batches of at most BATCH rows and give freed Arrow memory back at once, which keeps
+    two workers beside an executor's heap small whatever the length of the texts."""
     workers_import(spark)
+    spark.sparkContext.environment["ARROW_DEFAULT_MEMORY_POOL"] = "system"
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+
+
+def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
