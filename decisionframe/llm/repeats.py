@@ -25,15 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, U64, Rolling, id_array, key_of, mix, only_ids, parts_of, slices, staged, text_buffer, word_bounds, word_hashes
+from .common import IS_SPACE, STEP, U64, Rolling, id_array, key_of, mix, only_ids, parts_of, slices, staged, text_buffer, word_bounds, word_hashes
 
-FIRST, SECOND, ANCHOR, WORDS = Rolling(11), Rolling(23), Rolling(37), Rolling(53)
+FIRST, SECOND, WORDS = Rolling(11), Rolling(23), Rolling(53)
 #: A chunk on its way: anchor, span, document, place of its first window, number of windows, flags.
 CHUNK = np.dtype([("a", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("n", "<i4"), ("flag", "<i4")])
 #: Flags: the anchor has several spans; the chunk occurs elsewhere as a whole.
 SEVERAL, AGAIN = 1, 2
 #: Chunks that a task holds before it compares and sends them.
-HELD = 1_000_000
+HELD = 300_000
 MARK = "part int, kind int, doc long, at long, n long, blob binary"
 
 
@@ -47,12 +47,13 @@ class Spec:
     later: bool
 
 
-def symbols(spec: Spec, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
-    """The buffer's symbols as 64-bit values, the rows' offsets in them, and the words' bounds."""
+def symbols(spec: Spec, data: np.ndarray, off: np.ndarray) -> tuple[Callable[[int, int], np.ndarray], np.ndarray]:
+    """What gives a range of the buffer's symbols as 64-bit values, and the rows' offsets in symbols."""
     if not spec.words:
-        return FIRST.table[data], off, ()
+        return lambda a, b: FIRST.table[data[a:b]], off
     starts, ends, rows = word_bounds(data, off, IS_SPACE)
-    return word_hashes(data, starts, ends, WORDS), rows, (starts, ends)
+    hashes = word_hashes(data, starts, ends, WORDS)
+    return lambda a, b: hashes[a:b], rows
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -63,11 +64,12 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - size)], x[width - size :]) if size < width else x
 
 
-def chunks(spec: Spec, values: np.ndarray, off: np.ndarray, docs: np.ndarray, step: int = 1 << 21) -> Iterator[np.ndarray]:
+def chunks(spec: Spec, values: Callable[[int, int], np.ndarray], off: np.ndarray, docs: np.ndarray, step: int = STEP) -> Iterator[np.ndarray]:
     """The chunks of all rows. Works through the values in steps that overlap by a window."""
     length, width = spec.length, spec.width
-    for low in range(0, max(0, len(values) - length + 1), step):
-        part = values[low : low + step + length - 1]
+    n = int(off[-1])
+    for low in range(0, max(0, n - length + 1), step):
+        part = values(low, min(n, low + step + length - 1))
         sums = FIRST.sums(part)
         places = np.arange(len(part) - width + 1)
         grams = mix(FIRST.ranges(sums, places, places + width))
@@ -81,7 +83,8 @@ def chunks(spec: Spec, values: np.ndarray, off: np.ndarray, docs: np.ndarray, st
         cut = np.flatnonzero(np.concatenate([[True], (np.diff(good) != 1) | (np.diff(anchor) != 0)]))
         begin, last, anchor = good[cut], good[np.concatenate([cut[1:], [len(good)]]) - 1], anchor[cut]
         out = np.empty(len(cut), CHUNK)
-        out["a"] = grams[anchor]
+        # anchors are the smallest of many fingerprints: mixed once more, they are dealt out evenly
+        out["a"] = mix(grams[anchor] ^ U64(0xA0761D6478BD642F))
         out["n"] = last - begin + 1
         out["s"] = mix(FIRST.ranges(sums, begin, last + length) ^ (mix(((anchor - begin) << 32 | out["n"]).astype(U64))))
         at = row[begin]
@@ -167,7 +170,7 @@ def _first_pass(spec: Spec, owners: int):
         held, n, salt = [], 0, TaskContext.get().partitionId() * 7919
         for batch in slices(batches):
             data, off = text_buffer(batch.column(1))
-            values, rows, _ = symbols(spec, data, off)
+            values, rows = symbols(spec, data, off)
             for c in chunks(spec, values, rows, id_array(batch.column(0))):
                 held.append(c)
                 n += len(c)
@@ -235,27 +238,49 @@ def _spans(spec: Spec):
     return run
 
 
-def repeated_windows(spec: Spec, spans: list[bytes], docs: np.ndarray, at: np.ndarray) -> np.ndarray:
+def repeated_windows(spec: Spec, spans: pa.Array, docs: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Marks of the windows of these spans that occur again (or, if the first stays, occurred before) among them."""
-    data, off = text_buffer(pa.array(spans, pa.binary()))
-    values, rows, _ = symbols(spec, data, off)
-    count = np.maximum(np.diff(rows) - spec.length + 1, 0)
-    which = np.repeat(np.arange(len(spans)), count)
-    place = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-    low = rows[which] + place
-    one = mix(FIRST.ranges(FIRST.sums(values), low, low + spec.length))
-    two = mix(SECOND.ranges(SECOND.sums(values), low, low + spec.length))
-    out = np.zeros(len(which), CHUNK)
-    out["a"], out["s"], out["doc"], out["at"], out["n"] = one, two, docs[which], at[which] + place, 1
-    out = order(out)
-    new = changes(out["a"], out["s"])
-    cls = np.cumsum(new) - 1
-    if spec.later:
-        head = np.flatnonzero(new)[cls]
-        hit = (out["doc"] != out["doc"][head]) | (out["at"] != out["at"][head])
-    else:
-        hit = np.bincount(cls)[cls] > 1 if len(cls) else new
-    return joined_runs(out[hit], spec.length)
+    data, off = text_buffer(spans)
+    values, rows = symbols(spec, data, off)
+    before = np.concatenate([[0], np.cumsum(np.maximum(np.diff(rows) - spec.length + 1, 0))])
+    total = int(before[-1])
+
+    def windows(i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Spans of the windows with these numbers, and their places in them."""
+        which = np.searchsorted(before, i, "right") - 1
+        return which, i - before[which]
+
+    # fingerprints of all windows, step by step; then a sixteenth of them at a time is sorted
+    one, two = np.empty(total, U64), np.empty(total, U64)
+    at_window = 0
+    while at_window < total:
+        which, place = windows(np.arange(at_window, min(total, at_window + STEP)))
+        low = rows[which] + place
+        first = int(low[0])
+        low = low[: int(np.searchsorted(low, first + STEP, "left"))] - first
+        part, stop = values(first, first + int(low[-1]) + spec.length), at_window + len(low)
+        for out, rolling in ((one, FIRST), (two, SECOND)):
+            out[at_window:stop] = mix(rolling.ranges(rolling.sums(part), low, low + spec.length))
+        at_window = stop
+    found = [np.zeros(0, CHUNK)]
+    bucket = (one >> U64(60)).astype(np.uint8)
+    for k in range(16):
+        i = np.flatnonzero(bucket == k)
+        if not len(i):
+            continue
+        which, place = windows(i)
+        out = np.zeros(len(i), CHUNK)
+        out["a"], out["s"], out["doc"], out["at"], out["n"] = one[i], two[i], docs[which], at[which] + place, 1
+        out = order(out)
+        new = changes(out["a"], out["s"])
+        cls = np.cumsum(new) - 1
+        if spec.later:
+            head = np.flatnonzero(new)[cls]
+            hit = (out["doc"] != out["doc"][head]) | (out["at"] != out["at"][head])
+        else:
+            hit = np.bincount(cls)[cls] > 1
+        found.append(joined_runs(out[hit], spec.length))
+    return joined_runs(np.concatenate(found), spec.length)
 
 
 def _window_pass(spec: Spec):
@@ -268,7 +293,7 @@ def _window_pass(spec: Spec):
         cuts = [*np.flatnonzero(changes(part)).tolist(), len(part)]
         docs, at = table.column("doc").to_numpy(), table.column("at").to_numpy()
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            yield marks(repeated_windows(spec, table.column("span").slice(a, b - a).to_pylist(), docs[a:b], at[a:b]), spec.length, 0, 0)
+            yield marks(repeated_windows(spec, pa.concat_arrays(table.column("span").slice(a, b - a).chunks), docs[a:b], at[a:b]), spec.length, 0, 0)
 
     return run
 
@@ -280,11 +305,11 @@ def repeated(docs: DataFrame, spec: Spec, index: Callable[[], Groups], owners: i
     owners = owners or 4 * n
     rows = docs.select(key_of().alias("key"), "text")
     sent = rows.mapInArrow(_first_pass(spec, owners), MARK)
-    first = staged(sent.repartition(n, "part").mapInArrow(_owner_pass(spec, owners, index), MARK).drop("blob"), "chunks")
+    first = staged(sent.repartitionById(n, F.expr(f"pmod(part, {n})")).mapInArrow(_owner_pass(spec, owners, index), MARK).drop("blob"), "chunks")
     wanted = first.where("kind = 1").groupBy(F.col("doc").alias("key")).agg(F.collect_set(F.struct("at", "n", "part")).alias("wanted"))
     wanted = staged(wanted, "wanted")
     spans = only_ids(rows, wanted, "key").join(wanted, "key").select("key", "text", "wanted").mapInArrow(_spans(spec), "part int, doc long, at long, span binary")
-    second = spans.repartition(n, "part").mapInArrow(_window_pass(spec), MARK)
+    second = spans.repartitionById(n, F.expr(f"pmod(part, {n})")).mapInArrow(_window_pass(spec), MARK)
     found = first.where("kind = 0").select("doc", "at", "n").unionByName(second.select("doc", "at", "n"))
     return staged(found.groupBy(F.col("doc").alias("key")).agg(F.collect_set(F.shiftleft("at", 32).bitwiseOR(F.col("n"))).alias("spans")), "removed")
 
