@@ -18,6 +18,8 @@ from decisionframe.llm.queries import tokenizer_path
 
 #: Documents whose best language has a lower score are rejected, as are those without letters.
 LEAST_SCORE = 0.3
+#: Near duplicates share this many hundredths of their shingles of so many words at least; op10's contract has its own figures.
+NEAR_PERCENT, NEAR_WORDS = 80, 5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return near_dedup(docs)
+    return near_dedup(docs, NEAR_PERCENT, NEAR_WORDS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
