@@ -17,6 +17,8 @@ from ..functions.hashing import h60
 from ..functions.text import norm_text
 
 BANDS, MOST_BITS = 4, 3
+#: Open pairs of the near-duplicate filter that the driver settles at most.
+FEW = 100_000
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -101,31 +103,45 @@ def near_pairs(sig: DataFrame, key: str, most_bits: int = MOST_BITS) -> DataFram
     return near.unionByName(same)
 
 
-def near_kept(sig: DataFrame, key: str, most_bits: int = MOST_BITS, rounds: int = 60) -> DataFrame:
+def _fallen(pairs: list) -> list[tuple]:
+    """Of pairs a < b, all keys that a filter in key order drops."""
+    gone = set()
+    for a, b in sorted(pairs, key=lambda p: p[1]):
+        if a not in gone:
+            gone.add(b)
+    return [(k,) for k in gone]
+
+
+def near_kept(sig: DataFrame, key: str, most_bits: int = MOST_BITS, few: int = FEW) -> DataFrame:
     """The keys that a filter keeps that takes rows in key order and compares each with those kept so far: a row falls if an
     earlier kept row has the same normalised text or a signature at most most_bits away.
 
     Rows with equal signatures or texts stand or fall with the first of them that is kept, so the rounds run on
-    representatives: each round keeps those without an undecided or kept earlier neighbour and drops those with a kept one."""
+    representatives: each round drops those with an earlier neighbour that is kept, and keeps those without an undecided one.
+    A round settles the smallest undecided key at least, and two links of a chain in key order; the rounds go on until none
+    is undecided, or no more than `few` pairs are open, which the driver settles in key order at once."""
     by_text = sig.groupBy("ex").agg(F.min(F.struct(key, "hi", "lo")).alias("m")).select(f"m.{key}", "m.hi", "m.lo")
     reps = shared_table(by_text.groupBy("hi", "lo").agg(F.min(key).alias(key)), "representatives")
     pairs = shared_table(near_pairs(reps, key, most_bits).select("a", "b"), "pairs")
     # texts whose first row fell may be kept later by none: equal text means equal signature, so it falls too
     undecided = shared_table(pairs.select(F.col("b").alias(key)).distinct(), "undecided")
-    open_pairs = pairs
-    dropped = None
-    for _ in range(rounds):
-        if not undecided.take(1):
+    open_pairs, spark = pairs, sig.sparkSession
+    folder, written = shared_folder(spark, "falls"), []
+    while undecided.take(1):
+        last = open_pairs.limit(few + 1).count() <= few
+        if last:
+            falls = spark.createDataFrame(_fallen(open_pairs.select("a", "b").collect()), reps.select(key).schema)
+        else:
+            free = open_pairs.join(undecided.select(F.col(key).alias("a")), "a", "left_anti")
+            falls = free.select(F.col("b").alias(key)).distinct().join(undecided, key, "left_semi")
+        falls.write.parquet(f"{folder}/{len(written)}")
+        written.append(f"{folder}/{len(written)}")
+        if last:
             break
-        free = open_pairs.join(undecided.select(F.col(key).alias("a")), "a", "left_anti")
-        falls = free.select(F.col("b").alias(key)).distinct()
-        falls = shared_table(falls.join(undecided, key, "left_semi"), "falls")
-        dropped = falls if dropped is None else dropped.unionByName(falls)
+        falls = spark.read.schema(falls.schema).parquet(written[-1])
         open_pairs = shared_table(open_pairs.join(falls.select(F.col(key).alias("a")), "a", "left_anti").join(falls.select(F.col(key).alias("b")), "b", "left_anti"), "open")
         left = undecided.join(falls, key, "left_anti")
         blocked = open_pairs.join(left.select(F.col(key).alias("a")), "a", "left_semi").select(F.col("b").alias(key)).distinct()
         undecided = shared_table(left.join(blocked, key, "left_semi"), "undecided")
-        if falls.isEmpty() and undecided.isEmpty():
-            break
     kept = reps.select(key)
-    return kept.join(dropped, key, "left_anti") if dropped is not None else kept
+    return kept.join(spark.read.schema(kept.schema).parquet(*written), key, "left_anti") if written else kept
