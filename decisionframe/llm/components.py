@@ -1,31 +1,42 @@
-"""Connected components by hash-to-min over a staged edge table."""
+"""Connected components by contraction over a staged edge table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """edges (a, b): node, comp (the smallest node reachable), for every node that has an edge.
 
-    Each round gives every node the smallest label among itself and its neighbours, then takes that
-    label's own label, so long chains shrink by pointer jumping. Labels only fall; the rounds end when
-    none fell. Both joins are on plain keys without an aggregate above them in the same stage, so a
-    hub's rows can be split."""
+    Each level points every node to its smallest neighbour. Such pointers have no cycles but pairs that point to each
+    other, whose smaller node becomes the root; so every tree has two nodes at least, and a level halves the nodes at
+    least. Pointer jumping flattens the trees in rounds logarithmic in their depth, and the roots with the links between
+    them are the next level, whatever the order of the ids. Both kinds of loop end by themselves. Joins are on plain keys
+    without an aggregate above them in the same stage, so a hub's rows can be split."""
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    links = staged(both, "links")
-    labels = staged(links.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("comp")), "labels")
-    for _ in range(rounds):
-        seen = links.join(labels.select(F.col("node").alias("other"), "comp"), "other").select("node", "comp")
-        lowest = seen.unionByName(labels).groupBy("node").agg(F.min("comp").alias("low"))
-        up = labels.select(F.col("node").alias("low"), F.col("comp").alias("top"))
-        fresh = lowest.join(up, "low", "left").select("node", F.least("low", F.coalesce("top", "low")).alias("comp"))
-        fresh = staged(fresh.join(labels.withColumnRenamed("comp", "old"), "node"), "labels")
-        changed = fresh.where("comp <> old").limit(1).count()
-        labels = fresh.select("node", "comp")
-        if not changed:
-            return labels
-    raise RuntimeError("components did not settle")
+    links, labels = staged(both, "links"), None
+    while labels is None or links.take(1):
+        nearest = staged(links.groupBy("node").agg(F.min("other").alias("up")), "nearest")
+        tree = _jump(nearest, F.least("up", "top"))
+        while tree.where("moved").take(1):
+            tree = _jump(tree, F.col("top"))
+        tree = tree.select("node", "up")
+        if labels is None:
+            labels = tree.withColumnRenamed("up", "root")
+        else:
+            higher = labels.join(tree.withColumnRenamed("node", "root"), "root", "left")
+            labels = staged(higher.select("node", F.coalesce("up", "root").alias("root")), "labels")
+        of_node = links.join(tree, "node").select(F.col("up").alias("a"), "other")
+        of_both = of_node.join(tree.withColumnRenamed("node", "other"), "other").select(F.col("a").alias("node"), F.col("up").alias("other"))
+        links = staged(of_both.where("node <> other").distinct(), "links")
+    lowest = staged(labels.groupBy("root").agg(F.min("node").alias("comp")), "lowest")
+    return staged(labels.join(lowest, "root").select("node", "comp"), "labels")
+
+
+def _jump(tree: DataFrame, to: Column) -> DataFrame:
+    """node, up, moved: every pointer follows its target's own, `top`."""
+    above = tree.select(F.col("node").alias("up"), F.col("up").alias("top"))
+    return staged(tree.join(above, "up").select("node", to.alias("up"), (to != F.col("up")).alias("moved")), "tree")
