@@ -697,7 +697,7 @@ def byte_tokens(spark, d):
 
 @query("pack_training_rows")
 def pack_training_rows(spark, d):
-    return plan.pack(plan.build(all_records(spark, d).where("source <> 'doc'"), CONFIG)).select("id", "split", "len", "ans", "typ", F.size("pos").alias("options"))
+    return plan.pack(plan.build(all_records(spark, d), CONFIG)).select("id", "split", "len", "ans", "typ", F.size("pos").alias("options"))
 
 
 @query("make_batches")
