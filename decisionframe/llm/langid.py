@@ -2,9 +2,10 @@
 
 Texts are folded (ASCII lower case, everything but letters to spaces) and their n-grams of 1 to 3
 bytes, and 4 with the word's edges, are hashed into BUCKETS. Document frequencies come from all
-documents that may be learned from; the weights are trained on a sample of at most SAMPLE of them by
-follow-the-regularised-leader with an elastic-net penalty, and a temperature is fitted on a fifth of
-the sample that the weights have not seen.
+documents that may be learned from; the weights are trained on a sample of at most SAMPLE of them, and
+at most FLOOR more of each language so that none is missed, by follow-the-regularised-leader with an
+elastic-net penalty, and a temperature is fitted on a fifth of each language's sample that the weights
+have not seen.
 
 Defined cases: a text that is null or has no letter is `und` with score 0; so is every text if nothing
 can be learned from; repeated rows are predicted one by one; a null doc_id is never learned from and
@@ -26,8 +27,8 @@ from .common import id_array, id_column, slices, text_buffer
 
 BITS = 14
 BUCKETS = 1 << BITS
-#: Labelled documents that the weights are trained on at most, and passes over them.
-SAMPLE, EPOCHS = 2500, 2
+#: Labelled documents that the weights are trained on at most, more of them for each language at most, and passes over them.
+SAMPLE, FLOOR, EPOCHS = 4000, 50, 2
 #: FTRL: step, its offset, L1 and L2.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-5
 #: Label mass spread over all languages while the temperature is fitted.
@@ -140,7 +141,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, off = text_buffer(batch.column(0))
         x = counts(data, off)
         at = [np.flatnonzero(r) for r in x]
-        yield pa.record_batch([batch.column(1), pa.array([a.astype(np.int32) for a in at], pa.list_(pa.int32())), pa.array([r[a] for r, a in zip(x, at, strict=True)], pa.list_(pa.float32()))], names=["lang", "at", "x"])
+        yield pa.record_batch([batch.column(1), pa.array([a.astype("<u2").tobytes() for a in at], pa.binary()), pa.array([r[a].tobytes() for r, a in zip(x, at, strict=True)], pa.binary())], names=["lang", "at", "x"])
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
@@ -154,19 +155,25 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     own = df[df.bucket < BUCKETS]
     found[own.bucket.to_numpy()] = own.n.to_numpy()
     idf = (np.log((1 + n) / (1 + found)) + 1).astype(np.float32)
-    chosen = learn.select("doc_id", F.xxhash64("doc_id").alias("_h")).orderBy("_h", "doc_id").limit(sample)
-    ids = docs.sparkSession.createDataFrame([(r[0],) for r in chosen.select("doc_id").distinct().collect()], "doc_id long")
-    rows = learn.join(F.broadcast(ids), "doc_id", "left_semi").select("text", "lang").mapInArrow(_sparse, "lang string, at array<int>, x array<float>").limit(2 * sample).toPandas()
-    rows = rows.assign(order=[hash_row(a) for a in rows["at"]]).sort_values(["order", "lang"], kind="stable").reset_index(drop=True)
-    langs = sorted(rows.lang.unique())
-    labels = rows.lang.map({x: k for k, x in enumerate(langs)}).to_numpy()
-    vectors = []
-    for at, x in zip(rows["at"], rows.x, strict=True):
-        at = np.asarray(at, np.int64)
-        v = np.log1p(np.asarray(x, np.float64)) * idf[at]
-        vectors.append((at, v / max(float(np.sqrt((v * v).sum())), 1e-12)))
-    fifth = np.arange(len(vectors)) % 5 == 4
-    seen = [i for i in range(len(vectors)) if not fifth[i]] or list(range(len(vectors)))
+    keyed = learn.select("lang", F.xxhash64("doc_id").alias("_h"), "doc_id")
+    # the first of each language by hash in each of FLOOR parts, mostly in the sample anyway: one row for each from a task
+    floor = keyed.groupBy("lang", F.pmod(F.xxhash64("_h"), F.lit(FLOOR)).alias("_part")).agg(F.min(F.struct("_h", "doc_id")).alias("m")).select("lang", "m.doc_id")
+    chosen = {(r["lang"], r["doc_id"]) for df in (keyed.orderBy("_h", "doc_id", "lang").limit(sample), floor) for r in df.select("lang", "doc_id").collect()}
+    ids = docs.sparkSession.createDataFrame(list(chosen), "lang string, doc_id long")
+    texts = learn.join(F.broadcast(ids), ["lang", "doc_id"], "left_semi").groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+    rows, compact = texts.select("text", "lang").mapInArrow(_sparse, "lang string, at binary, x binary"), []
+    for lang, at, x in rows.toLocalIterator():
+        at = np.frombuffer(at, "<u2")
+        v = np.log1p(np.frombuffer(x, np.float32)) * idf[at]
+        compact.append((hash_row(at), lang, at, v / max(float(np.sqrt((v * v).sum())), 1e-12)))
+    compact.sort(key=lambda r: (r[0], r[1], r[3].tobytes()))
+    langs = sorted({r[1] for r in compact})
+    number, seen_of = {x: k for k, x in enumerate(langs)}, dict.fromkeys(langs, 0)
+    labels, vectors, fifth = np.array([number[r[1]] for r in compact]), [r[2:] for r in compact], np.zeros(len(compact), bool)
+    for i, r in enumerate(compact):
+        fifth[i] = seen_of[r[1]] % 5 == 4
+        seen_of[r[1]] += 1
+    seen = np.flatnonzero(~fifth)
     w, bias = train([vectors[i] for i in seen], labels[seen], len(langs))
     logits = np.array([x @ w[at] + bias for i, (at, x) in enumerate(vectors) if fifth[i]]).reshape(-1, len(langs))
     return Model(langs, idf, w.astype(np.float32), bias.astype(np.float32), temperature(logits, labels[fifth]))
