@@ -6,17 +6,19 @@ of the rest has filled its gap if that gap is at least MIN_PIECE tokens. What is
 end of a partition is merged there, and the last open window of each partition is merged with those
 of up to GROUP neighbouring partitions.
 
-Defined cases: a null or empty text is the closing id alone; repeated rows are packed one by one; a
-null doc_id stays null. Extra columns are ignored. Which documents share a sequence depends on the
-partitioning of the input, the ids do not.
+Defined cases: a null or empty text is the closing id alone; a very long text fills as many sequences
+as it needs; repeated rows are packed one by one; among equally full windows the oldest is taken; a null
+doc_id stays null. Extra columns are ignored; an empty table gives no pieces. Which documents share a
+sequence depends on the partitioning of the input, the ids do not.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +34,20 @@ CAPACITY, OPEN, MIN_PIECE = 2048, 64, 16
 GROUP = 1024
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
-#: Fixed values of the tokenizer file: its contractions, and the letters that it lower-cases one by one.
+#: Fixed values of the tokenizer files whose words are split here: contractions, how texts are normalised and cut into pieces.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-ASCII_PIECES = re.compile(CONTRACTIONS + r"|[a-z]+|[0-9]|[^a-z0-9]+")
-LATIN = "a-zà-öø-ÿ"
-LATIN_WORD = re.compile(f"[{LATIN}]+")
-LATIN_PIECES = re.compile(CONTRACTIONS + f"|[{LATIN}]+|[0-9]|[!-/:-@\\[-`{{-~]+")
-LATIN_LOWER = {c: c + 32 for c in range(0xC0, 0xDF) if c != 0xD7}
-LATIN_ONLY = re.compile(f"[!-~{LATIN}]*")
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = CONTRACTIONS + "|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Letters of Latin-1: lower-cased one by one and never recomposed. What is neither ASCII nor one of them is odd.
+LETTERS, LATIN = "a-zß-öø-ÿ", "À-ÖØ-öø-ÿ"
+PIECES = re.compile(CONTRACTIONS + f"|[{LETTERS}]+|[0-9]|[^ \\t-\\r0-9{LETTERS}]+")
+#: Something odd, and a word that has it.
+ODD = re.compile(f"[^\\x00-\\x7f{LATIN}]")
+ODD_WORD = re.compile(f"[^ \\t-\\r]*[^\\x00-\\x7f{LATIN}][^ \\t-\\r]*")
 
 
 def byte_letters() -> list[str]:
@@ -53,51 +61,62 @@ def little_endian(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class Ids(dict):
-    """Words (white space between them, ASCII lower case) to their ids as little-endian bytes. The tokenizer never joins
-    across white space, so words can be kept; two generations bound what is kept."""
+class Pieces(dict):
+    """Pieces, or odd words, to their ids as little-endian bytes; two generations bound what is kept."""
 
     MOST = 200_000
 
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.letters, self.pieces, self.old = self.tokenizer.model, byte_letters(), {}, ({}, {})
+    def __init__(self, encode: Callable[[str], list[int]]) -> None:
+        super().__init__()
+        self.encode, self.old = encode, {}
 
-    def __missing__(self, word: bytes) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.MOST:
-            self.old = (dict(self), self.pieces)
+            self.old = dict(self)
             self.clear()
-            self.pieces = {}
-        out = self.old[0].get(word)
+        out = self.old.get(piece)
         if out is None:
-            out = self.encode(word)
-        self[word] = out
+            out = little_endian(self.encode(piece))
+        self[piece] = out
         return out
 
-    def encode(self, word: bytes) -> bytes:
-        if word.isascii():
-            found = ASCII_PIECES.findall(word.decode())
-        else:
-            text = word.decode("utf-8", "replace").translate(LATIN_LOWER)
-            if not LATIN_ONLY.fullmatch(text):
-                return little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            found = LATIN_PIECES.findall(text)
-        return b"".join([self.piece(x) for x in found])
-
-    def piece(self, text: str) -> bytes:
-        out = self.pieces.get(text) or self.old[1].get(text)
-        if out is None:
-            plain = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
-            out = little_endian([x.id for x in self.model.tokenize(plain)])
-        self.pieces[text] = out
-        return out
 
-    def document(self, text: bytes) -> bytes:
-        if b"<|" in text:
-            return little_endian(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        return b"".join(map(self.__getitem__, text.lower().split()))
+class Ids:
+    """Texts to their ids as little-endian bytes. A tokenizer file that normalises and splits as the fixed values above say
+    never joins across white space and sees each piece by itself, so pieces are cut here, all at once, and their ids are kept;
+    words with odd characters, and texts that name an added token, go to the tokenizer. So do all texts for any other file."""
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.tokenizer = Tokenizer.from_file(path)
+        model, self.added = self.tokenizer.model, [t["content"].encode() for t in spec["added_tokens"]]
+        plain = {"truncation": None, "padding": None, "normalizer": {"type": "Sequence", "normalizers": NORMALIZERS}, "pre_tokenizer": {"type": "Sequence", "pretokenizers": PRE_TOKENIZERS}}
+        whole = all(t["special"] and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec["added_tokens"])
+        self.known = whole and all(spec[k] == v for k, v in plain.items()) and spec["model"]["type"] == "BPE" and not spec["model"]["dropout"]
+        letters = byte_letters()
+        self.pieces = Pieces(lambda piece: [x.id for x in model.tokenize("".join([letters[b] for b in piece.encode()]))])
+        self.odd = Pieces(self.whole)
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def document(self, raw: bytes) -> bytes:
+        text = raw.decode("utf-8", "replace")
+        if not self.known or any(x in raw for x in self.added):
+            return little_endian(self.whole(text))
+        ids = self.pieces.__getitem__
+        if raw.isascii() or not ODD.search(text):
+            return b"".join(map(ids, PIECES.findall(text.lower())))
+        out, at = [], 0
+        for m in ODD_WORD.finditer(text):
+            out += map(ids, PIECES.findall(text[at : m.start()].lower()))
+            out.append(self.odd[m[0]])
+            at = m.end()
+        out += map(ids, PIECES.findall(text[at:].lower()))
+        return b"".join(out)
 
 
 _IDS: dict[str, Ids] = {}
