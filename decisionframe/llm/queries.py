@@ -97,12 +97,35 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS n
 SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN words ON dw.doc_id = words.doc_id LEFT JOIN items ON dw.doc_id = items.doc_id""",
+    "op5_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, h, unnest(generate_series(0, length(h) // 2 - 400)) AS i FROM d WHERE length(h) >= 800),
+k AS (SELECT doc_id, i, count(*) OVER (PARTITION BY md5(substr(h, 2 * i + 1, 800))) AS n FROM p),
+r AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM k WHERE n > 1),
+g AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM g GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS low, a AS high FROM spans UNION ALL SELECT doc_id, max(b), CAST(1 AS BIGINT) << 40 FROM spans GROUP BY doc_id),
+cut AS (SELECT d.doc_id, string_agg(substr(h, 2 * low + 1, least(2 * (high - low), length(h))), '' ORDER BY low) AS kept FROM d JOIN gaps ON d.doc_id = gaps.doc_id GROUP BY d.doc_id),
+n AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS runs FROM spans GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(runs, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN cut ON d.doc_id = cut.doc_id""",
     "op9_exact_dedup": r"""
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
 r AS (SELECT doc_id, norm, first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM t)
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM r""",
 }
 
+ORACLE_SQL["op10_jaccard_join"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - {jaccard_join.SHINGLE - 1}))) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {jaccard_join.SHINGLE - 1}], ' ') AS g FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM c JOIN n AS m ON m.doc_id = x JOIN n AS o ON o.doc_id = y WHERE 100 * shared >= {jaccard_join.PERCENT} * (m.n + o.n - shared)),
+e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, b FROM reach JOIN e ON e.a = reach.other)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 _STRICT, _SOFT = (_terms(x) for x in (url_filter.STRICT, url_filter.SOFT))
 _HIT = " OR ".join(_STRICT) + " OR " + " + ".join(f"CAST({x} AS INTEGER)" for x in _SOFT) + " >= 2"
