@@ -178,7 +178,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
     y_of = {r[0]: r[1] for r in chosen}
     ids = docs.sparkSession.createDataFrame([(i,) for i in y_of], "doc_id long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(_features, "doc_id long, x array<double>").limit(2 * sample).toPandas()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(_features, "doc_id long, x array<double>")
+    # an id that several rows have is learned from once, so no more than the sample reaches the driver
+    rows = rows.groupBy("doc_id").agg(F.min("x").alias("x")).toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     return fit_rows(np.array(rows.x.tolist()).reshape(len(rows), len(NAMES)), np.array([y_of[i] for i in rows.doc_id], float))
 
