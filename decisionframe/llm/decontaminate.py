@@ -7,24 +7,27 @@ rolling fingerprint is in the set, verifies the hit on the words themselves and
 the window.
 
 Defined cases: null text has no words; an item of fewer words than the window is one window; items
-and documents without words match nothing; equal items all count; repeated rows are judged one by
-one; a null item_id counts as item "" in items_sha256.
+and documents without words match nothing; equal items all count; repeated rows, and rows that share a
+doc_id, are judged one by one, whatever the number of slices; a very long text is a slice of its own; a null
+item_id counts as item "" in items_sha256; a null doc_id stays null. Extra columns are ignored, or kept by
+remove_documents and remove_spans. Empty tables give an empty result, or one without hits.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, id_array, id_column, mix, slices, text_buffer
+from .common import U64, id_array, id_column, mix, row_number, slices, staged, steady, text_buffer
 
 #: Benchmark words in one broadcast slice.
-MAX_WORDS = 2_000_000
+MAX_WORDS = 500_000
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 BASE = 0x9E3779B97F4A7C15
 
@@ -122,28 +125,28 @@ def _scan(shared):
                 n_words.append(len(words))
                 hits.append(np.flatnonzero(hit).tolist())
                 names.append([windows.names[i] for i in found])
-            yield pa.record_batch([id_column(id_array(batch.column(0))), pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))], names=["doc_id", "n_words", "hits", "items"])
+            yield pa.record_batch([id_column(id_array(batch.column(0))), batch.column(2), pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))], names=["doc_id", "row", "n_words", "hits", "items"])
 
     return scan
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10, most_words: int = MAX_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_words, hits (places of hit words), items (item_ids with occurring windows)."""
+    """One row per row of docs: doc_id, n_words, hits (places of hit words), items (item_ids with occurring windows)."""
+    docs = steady(docs)
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n_words long, hits array<long>, items array<string>"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_number().alias("row"))
+    schema = "doc_id long, row long, n_words long, hits array<long>, items array<string>"
     scans = []
     for held in benchmark_slices(items, most_words):
         shared = spark.sparkContext.broadcast(Windows(held, width))
         scans.append(rows.mapInArrow(_scan(shared), schema))
     if len(scans) == 1:
-        return scans[0]
-    merged = scans[0]
-    for x in scans[1:]:
-        merged = merged.unionByName(x)
-    # A document's rows meet again by id; without ids that are unique, rows of one id are judged together.
-    merged = merged.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"), F.flatten(F.collect_list("items")).alias("items"))
-    return merged.select("doc_id", "n_words", F.array_sort("hits").alias("hits"), "items")
+        return scans[0].drop("row")
+    # a row's findings in the slices meet again by its number; those of slices that found nothing stay behind
+    found = staged(reduce(DataFrame.unionByName, (x.where("size(items) > 0") for x in scans)).drop("doc_id", "n_words"), "found")
+    merged = found.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"), F.flatten(F.collect_list("items")).alias("items"))
+    joined = scans[0].select("doc_id", "row", "n_words").join(merged, "row", "left")
+    return joined.select("doc_id", "n_words", F.array_sort(F.coalesce("hits", F.array().cast("array<long>"))).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def contamination_digest(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:

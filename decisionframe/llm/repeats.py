@@ -25,16 +25,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, STEP, U64, Rolling, id_array, key_of, mix, only_ids, parts_of, slices, staged, text_buffer, word_bounds, word_hashes
+from .common import IS_SPACE, STEP, U64, Rolling, _in_bitmap, id_array, key_of, mix, only_ids, parts_of, row_number, slices, staged, text_buffer, word_bounds, word_hashes
 
 FIRST, SECOND, WORDS = Rolling(11), Rolling(23), Rolling(53)
-#: A chunk on its way: anchor, span, document, place of its first window, number of windows, flags.
-CHUNK = np.dtype([("a", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("n", "<i4"), ("flag", "<i4")])
+#: A chunk on its way: anchor, span, document, row, place of its first window, number of windows, flags.
+CHUNK = np.dtype([("a", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("at", "<i4"), ("n", "<i4"), ("flag", "<i4")])
 #: Flags: the anchor has several spans; the chunk occurs elsewhere as a whole.
 SEVERAL, AGAIN = 1, 2
 #: Chunks that a task holds before it compares and sends them.
 HELD = 300_000
-MARK = "part int, kind int, doc long, at long, n long, blob binary"
+MARK = "part int, kind int, row long, at long, n long, blob binary"
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - size)], x[width - size :]) if size < width else x
 
 
-def chunks(spec: Spec, values: Callable[[int, int], np.ndarray], off: np.ndarray, docs: np.ndarray, step: int = STEP) -> Iterator[np.ndarray]:
+def chunks(spec: Spec, values: Callable[[int, int], np.ndarray], off: np.ndarray, docs: np.ndarray, numbers: np.ndarray, step: int = STEP) -> Iterator[np.ndarray]:
     """The chunks of all rows. Works through the values in steps that overlap by a window."""
     length, width = spec.length, spec.width
     n = int(off[-1])
@@ -88,12 +88,12 @@ def chunks(spec: Spec, values: Callable[[int, int], np.ndarray], off: np.ndarray
         out["n"] = last - begin + 1
         out["s"] = mix(FIRST.ranges(sums, begin, last + length) ^ (mix(((anchor - begin) << 32 | out["n"]).astype(U64))))
         at = row[begin]
-        out["doc"], out["at"], out["flag"] = docs[at], begin + low - off[at], 0
+        out["doc"], out["row"], out["at"], out["flag"] = docs[at], numbers[at], begin + low - off[at], 0
         yield out
 
 
 def order(c: np.ndarray) -> np.ndarray:
-    return c[np.lexsort((c["at"], c["doc"], c["s"], c["a"]))]
+    return c[np.lexsort((c["at"], c["row"], c["doc"], c["s"], c["a"]))]
 
 
 def changes(*columns: np.ndarray) -> np.ndarray:
@@ -114,7 +114,7 @@ def compare(c: np.ndarray, later: bool) -> tuple[np.ndarray, np.ndarray, np.ndar
     several = np.bincount(group[heads]) > 1
     several |= np.bitwise_or.reduceat(c["flag"] & SEVERAL, first_of) > 0
     if later:
-        marked = (c["doc"] != c["doc"][head]) | (c["at"] != c["at"][head])
+        marked = (c["row"] != c["row"][head]) | (c["at"] != c["at"][head])
     else:
         again = (size > 1) | (np.bitwise_or.reduceat(c["flag"] & AGAIN, heads) > 0)
         marked = again[cls]
@@ -127,18 +127,18 @@ def marks(c: np.ndarray, length: int, kind: int, part: np.ndarray | int, blob: l
     """Kind 0: symbols to mark, from at on; kind 1: windows to compare; kind 2: what is for an owner."""
     n = len(c)
     part = np.broadcast_to(np.asarray(part, np.int32), n)
-    return pa.record_batch([pa.array(part, pa.int32()), pa.array(np.full(n, kind, np.int32)), pa.array(c["doc"].astype(np.int64)), pa.array(c["at"].astype(np.int64)), pa.array(c["n"].astype(np.int64) + (length - 1 if kind == 0 else 0)), pa.array(blob, pa.binary()) if blob else pa.nulls(n, pa.binary())], names=["part", "kind", "doc", "at", "n", "blob"])
+    return pa.record_batch([pa.array(part, pa.int32()), pa.array(np.full(n, kind, np.int32)), pa.array(c["row"].astype(np.int64)), pa.array(c["at"].astype(np.int64)), pa.array(c["n"].astype(np.int64) + (length - 1 if kind == 0 else 0)), pa.array(blob, pa.binary()) if blob else pa.nulls(n, pa.binary())], names=["part", "kind", "row", "at", "n", "blob"])
 
 
 def joined_runs(c: np.ndarray, length: int) -> np.ndarray:
-    """Marked chunks of one document that touch become one."""
+    """Marked chunks of one row that touch become one."""
     if not len(c):
         return c
-    c = c[np.lexsort((c["at"], c["doc"]))]
-    doc, at, end = c["doc"], c["at"].astype(np.int64), c["at"].astype(np.int64) + c["n"] + length - 1
-    rank = np.cumsum(changes(doc)) - 1
+    c = c[np.lexsort((c["at"], c["row"]))]
+    row, at, end = c["row"], c["at"].astype(np.int64), c["at"].astype(np.int64) + c["n"] + length - 1
+    rank = np.cumsum(changes(row)) - 1
     reach = np.maximum.accumulate(end + (rank << 40)) - (rank << 40)
-    new = changes(doc)
+    new = changes(row)
     new[1:] |= at[1:] > reach[:-1]
     heads = np.flatnonzero(new)
     out = c[heads].copy()
@@ -171,7 +171,7 @@ def _first_pass(spec: Spec, owners: int):
         for batch in slices(batches):
             data, off = text_buffer(batch.column(1))
             values, rows = symbols(spec, data, off)
-            for c in chunks(spec, values, rows, id_array(batch.column(0))):
+            for c in chunks(spec, values, rows, id_array(batch.column(2)), batch.column(0).to_numpy()):
                 held.append(c)
                 n += len(c)
             if n >= HELD:
@@ -223,22 +223,20 @@ def _spans(spec: Spec):
             if spec.words:
                 starts, ends, rows = word_bounds(data, off, IS_SPACE)
                 bounds = (starts, ends)
-            out: list[list] = [[], [], [], []]
-            for i, (doc, wanted) in enumerate(zip(id_array(batch.column(0)).tolist(), batch.column(2).to_pylist(), strict=True)):
+            out: list[list] = [[], [], [], [], []]
+            for i, (row, doc, wanted) in enumerate(zip(batch.column(0).to_pylist(), id_array(batch.column(2)).tolist(), batch.column(3).to_pylist(), strict=True)):
                 for x in wanted:
                     at, n, part = x["at"], x["n"], x["part"]
                     low, high = int(rows[i]) + at, int(rows[i]) + at + n + spec.length - 1
-                    if high > rows[i + 1]:
-                        continue  # another row of this doc_id
                     span = raw[bounds[0][low] : bounds[1][high - 1]] if spec.words else raw[low:high]
-                    for c, v in zip(out, (part, doc, at, span), strict=True):
+                    for c, v in zip(out, (part, row, doc, at, span), strict=True):
                         c.append(v)
-            yield pa.record_batch([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())], names=["part", "doc", "at", "span"])
+            yield pa.record_batch([pa.array(out[0], pa.int32()), *(pa.array(c, pa.int64()) for c in out[1:4]), pa.array(out[4], pa.binary())], names=["part", "row", "doc", "at", "span"])
 
     return run
 
 
-def repeated_windows(spec: Spec, spans: pa.Array, docs: np.ndarray, at: np.ndarray) -> np.ndarray:
+def repeated_windows(spec: Spec, spans: pa.Array, numbers: np.ndarray, docs: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Marks of the windows of these spans that occur again (or, if the first stays, occurred before) among them."""
     data, off = text_buffer(spans)
     values, rows = symbols(spec, data, off)
@@ -270,13 +268,13 @@ def repeated_windows(spec: Spec, spans: pa.Array, docs: np.ndarray, at: np.ndarr
             continue
         which, place = windows(i)
         out = np.zeros(len(i), CHUNK)
-        out["a"], out["s"], out["doc"], out["at"], out["n"] = one[i], two[i], docs[which], at[which] + place, 1
+        out["a"], out["s"], out["doc"], out["row"], out["at"], out["n"] = one[i], two[i], docs[which], numbers[which], at[which] + place, 1
         out = order(out)
         new = changes(out["a"], out["s"])
         cls = np.cumsum(new) - 1
         if spec.later:
             head = np.flatnonzero(new)[cls]
-            hit = (out["doc"] != out["doc"][head]) | (out["at"] != out["at"][head])
+            hit = (out["row"] != out["row"][head]) | (out["at"] != out["at"][head])
         else:
             hit = np.bincount(cls)[cls] > 1
         found.append(joined_runs(out[hit], spec.length))
@@ -291,27 +289,35 @@ def _window_pass(spec: Spec):
         table = pa.Table.from_batches(held).sort_by("part")
         part = table.column("part").to_numpy()
         cuts = [*np.flatnonzero(changes(part)).tolist(), len(part)]
-        docs, at = table.column("doc").to_numpy(), table.column("at").to_numpy()
+        numbers, docs, at = (table.column(c).to_numpy() for c in ("row", "doc", "at"))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            yield marks(repeated_windows(spec, pa.concat_arrays(table.column("span").slice(a, b - a).chunks), docs[a:b], at[a:b]), spec.length, 0, 0)
+            yield marks(repeated_windows(spec, pa.concat_arrays(table.column("span").slice(a, b - a).chunks), numbers[a:b], docs[a:b], at[a:b]), spec.length, 0, 0)
 
     return run
 
 
 def repeated(docs: DataFrame, spec: Spec, index: Callable[[], Groups], owners: int | None = None) -> DataFrame:
-    """key (doc_id, never null), spans: array of packed (start << 32 | symbols) to remove. Only documents that have any."""
+    """Of a steady frame: row (its row_number()), spans: array of packed (start << 32 | symbols) to remove. Only rows that have any."""
     spark = docs.sparkSession
     n = parts_of(spark)
     owners = owners or 4 * n
-    rows = docs.select(key_of().alias("key"), "text")
+    rows = docs.select(row_number().alias("row"), "text", key_of().alias("doc"))
     sent = rows.mapInArrow(_first_pass(spec, owners), MARK)
     first = staged(sent.repartitionById(n, F.expr(f"pmod(part, {n})")).mapInArrow(_owner_pass(spec, owners, index), MARK).drop("blob"), "chunks")
-    wanted = first.where("kind = 1").groupBy(F.col("doc").alias("key")).agg(F.collect_set(F.struct("at", "n", "part")).alias("wanted"))
+    wanted = first.where("kind = 1").groupBy("row").agg(F.collect_set(F.struct("at", "n", "part")).alias("wanted"))
     wanted = staged(wanted, "wanted")
-    spans = only_ids(rows, wanted, "key").join(wanted, "key").select("key", "text", "wanted").mapInArrow(_spans(spec), "part int, doc long, at long, span binary")
+    spans = only_ids(rows, wanted, "row").join(wanted, "row").select("row", "text", "doc", "wanted").mapInArrow(_spans(spec), "part int, row long, doc long, at long, span binary")
     second = spans.repartitionById(n, F.expr(f"pmod(part, {n})")).mapInArrow(_window_pass(spec), MARK)
-    found = first.where("kind = 0").select("doc", "at", "n").unionByName(second.select("doc", "at", "n"))
-    return staged(found.groupBy(F.col("doc").alias("key")).agg(F.collect_set(F.shiftleft("at", 32).bitwiseOR(F.col("n"))).alias("spans")), "removed")
+    found = first.where("kind = 0").select("row", "at", "n").unionByName(second.select("row", "at", "n"))
+    return staged(found.groupBy("row").agg(F.collect_set(F.shiftleft("at", 32).bitwiseOR(F.col("n"))).alias("spans")), "removed")
+
+
+def with_spans(docs: DataFrame, removed: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """keep over (doc, text, spans) of the rows that have spans, and over (doc, text) of all others; every row goes one way only."""
+    rows = docs.select(row_number().alias("row"), "text", key_of().alias("doc"))
+    known = _in_bitmap(rows, removed, "row")
+    joined = known.where("_hit").join(removed, "row", "left").select("doc", "text", "spans").mapInArrow(keep, schema)
+    return joined.unionByName(known.where("not _hit").select("doc", "text").mapInArrow(keep, schema))
 
 
 def removed_mask(spans: list[int] | None, n: int) -> np.ndarray:

@@ -7,8 +7,9 @@ have the anchor's span classes as children; an inner node of depth 20 words or m
 repeat, and all its leaves but the first in (doc_id, start) order are removed.
 
 Defined cases: null text has no words; a document of fewer than 20 words keeps all; a null doc_id
-sorts before all others; rows that repeat a doc_id are the same document, so they are no earlier
-occurrence of each other. Extra columns are ignored. An empty table gives an empty result.
+sorts before all others; rows that repeat a doc_id are texts of their own, in the order of the files, so a
+later one repeats an earlier one; a very long text is a slice of its own and its windows are hashed in steps.
+Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,10 +20,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import IS_SPACE, U64, id_array, id_column, key_of, only_ids, slices, text_buffer, word_bounds
-from .repeats import CHUNK, Groups, Spec, compare, order, removed_mask, repeated
+from .common import IS_SPACE, U64, id_array, id_column, slices, steady, text_buffer, word_bounds
+from .repeats import CHUNK, Groups, Spec, compare, order, removed_mask, repeated, with_spans
 
 #: Words of a window; words of an anchor; suffixes from which one subtree is built.
 LENGTH, WIDTH, GROUP = 20, 8, 1 << 18
@@ -85,10 +85,7 @@ def _kept(batches: Iterator[pa.RecordBatch], with_text: bool = False) -> Iterato
 
 def substring_dedup(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (words joined by one space)."""
-    removed = repeated(docs, Spec(length, width, True, True), PrefixTrees)
-    rows = docs.select(key_of().alias("key"), "text")
+    docs = steady(docs)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     keep = _kept if not with_text else lambda batches: _kept(batches, True)
-    cut = only_ids(rows, removed, "key").join(removed, "key").select("key", "text", "spans").mapInArrow(keep, schema)
-    whole = rows.mapInArrow(keep, schema).withColumn("key", key_of()).join(removed.select("key"), "key", "left_anti").drop("key")
-    return cut.unionByName(whole)
+    return with_spans(docs, repeated(docs, Spec(length, width, True, True), PrefixTrees), keep, schema)

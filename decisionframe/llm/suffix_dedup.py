@@ -7,7 +7,7 @@ byte-wise comparison of their windows. Then the batch becomes a level, and level
 size are merged, so n batches leave O(log n) levels and every suffix is moved O(log n) times.
 
 Defined cases: null text is empty; a text shorter than 400 bytes keeps all; rows that repeat a
-doc_id are separate texts, so a long one of them repeats the other; a null doc_id stays null. Cuts
+doc_id are separate texts, so a long one of them repeats the other; a very long text is a slice of its own; a null doc_id stays null. Cuts
 fall between bytes, not characters: the remaining bytes are kept as they are. Extra columns are
 ignored. An empty table gives an empty result.
 """
@@ -21,8 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_array, id_column, key_of, only_ids, slices, text_buffer
-from .repeats import AGAIN, CHUNK, SEVERAL, Groups, Spec, changes, order, removed_mask, repeated
+from .common import id_array, id_column, slices, steady, text_buffer
+from .repeats import AGAIN, CHUNK, SEVERAL, Groups, Spec, changes, order, removed_mask, repeated, with_spans
 
 #: Bytes of a window; bytes of an anchor.
 LENGTH, WIDTH = 400, 64
@@ -75,7 +75,7 @@ class LevelIndex(Groups):
         first = changes(c["a"], c["s"])
         if later:
             head = np.flatnonzero(first)[np.cumsum(first) - 1]
-            marked = (c["doc"] != c["doc"][head]) | (c["at"] != c["at"][head])
+            marked = (c["row"] != c["row"][head]) | (c["at"] != c["at"][head])
         else:
             marked = (c["flag"] & AGAIN) > 0
         return c[marked], c[first & ((c["flag"] & SEVERAL) > 0)]
@@ -98,9 +98,6 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, width: int = WIDTH) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    removed = repeated(docs, Spec(length, width, False, False), LevelIndex)
-    rows = docs.select(key_of().alias("key"), "text")
+    docs = steady(docs)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    cut = only_ids(rows, removed, "key").join(removed, "key").select("key", "text", "spans").mapInArrow(_kept, schema)
-    whole = rows.mapInArrow(_kept, schema).withColumn("key", key_of()).join(removed.select("key"), "key", "left_anti").drop("key")
-    return cut.unionByName(whole)
+    return with_spans(docs, repeated(docs, Spec(length, width, False, False), LevelIndex), _kept, schema)
