@@ -6,8 +6,10 @@ the suspects' texts are shuffled; they are grouped by their bytes, so a shared f
 never makes two texts equal.
 
 Defined cases: a null text is empty, and all texts without other characters than white space are
-equal. A null doc_id sorts before all others. Rows that repeat a doc_id each count in group_size
-and share one verdict. Extra columns are ignored. An empty table gives an empty result.
+equal. A null doc_id sorts before all others. Rows that repeat a doc_id are told apart by their place in the
+files and each count in group_size; of such rows with equal texts all are `kept` in exact_groups if the id
+is the one that stays, and the first of them stays in exact_dedup. A very long text is a slice of its own.
+Extra columns are ignored, or kept by exact_dedup. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, U64, id_array, id_column, key_of, parts_of, rows_without, slices, staged, text_buffer
+from .common import NULL_ID, SPACES, U64, id_array, key_of, only_ids, parts_of, row_number, rows_without, slices, staged, steady, text_buffer
 
-#: Rows of one block at most: its fingerprints are held by one task.
-BLOCK_ROWS = 500_000
+#: Rows of one block at most, and rows of all blocks for one owner on average: their fingerprints are held by one task.
+BLOCK_ROWS, OWNED = 500_000, 2_000_000
 
 
 def rice_encode(values: np.ndarray) -> bytes:
@@ -60,18 +62,16 @@ def rice_decode(blob: bytes) -> np.ndarray:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, rows = TaskContext.get().partitionId(), 0
     for batch in slices(batches):
-        n_cp, digests, prints = [], [], []
+        digests, prints = [], []
         data, off = text_buffer(batch.column(1))
-        lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         raw = data.tobytes()
         for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
             digest = hashlib.sha256(raw[a:b].translate(None, SPACES))
             digests.append(digest.hexdigest())
             prints.append(digest.digest()[:8])
-        n_cp = lead[off[1:]] - lead[off[:-1]]
         block = (part << 24) + (rows + np.arange(batch.num_rows)) // BLOCK_ROWS
         rows += batch.num_rows
-        yield pa.record_batch([id_column(id_array(batch.column(0))), pa.array(n_cp, pa.int64()), pa.array(digests), pa.array(np.frombuffer(b"".join(prints), ">u8").astype(U64).view(np.int64)), pa.array(block, pa.int64())], names=["doc_id", "n_cp", "sha", "fp", "block"])
+        yield pa.record_batch([batch.column(0), batch.column(2), pa.array(digests), pa.array(np.frombuffer(b"".join(prints), ">u8").astype(U64).view(np.int64)), pa.array(block, pa.int64())], names=["key", "row", "sha", "fp", "block"])
 
 
 def _send(owners: int):
@@ -100,7 +100,7 @@ def _answer(group: pa.Table) -> pa.Table:
 def _suspects(owners: int):
     def suspects(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64())})
+            return pa.table({"row": pa.array([], pa.int64())})
         prints = rows.column("fp").to_numpy().view(U64)
         distinct, inverse, counts = np.unique(prints, return_inverse=True, return_counts=True)
         owner = ((distinct >> U64(32)) * U64(owners)) >> U64(32)
@@ -108,59 +108,66 @@ def _suspects(owners: int):
         for o, bitmap in zip(answers.column("owner").to_pylist(), answers.column("bitmap").to_pylist(), strict=True):
             a, b = np.searchsorted(owner, np.array([o, o + 1], U64))
             hit[a:b] |= np.unpackbits(np.frombuffer(bitmap, np.uint8))[: b - a].astype(bool)
-        return rows.select(["doc_id"]).filter(pa.array(hit[inverse]))
+        return rows.select(["row"]).filter(pa.array(hit[inverse]))
 
     return suspects
 
 
 def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each distinct normalised text of a slice, with its best row: most code points, then smallest doc_id."""
+    """One row for each distinct normalised text of a slice, with its best row: most code points, then smallest doc_id, then first row."""
     for batch in slices(batches):
         best: dict[bytes, list] = {}
         data, off = text_buffer(batch.column(1))
         raw = data.tobytes()
-        for key, a, b in zip(id_array(batch.column(0)).tolist(), off[:-1].tolist(), off[1:].tolist(), strict=True):
+        for key, row, a, b in zip(id_array(batch.column(0)).tolist(), batch.column(2).to_pylist(), off[:-1].tolist(), off[1:].tolist(), strict=True):
             text = raw[a:b]
-            norm, order = text.translate(None, SPACES), (-len(text.decode("utf-8", "replace")), key)
+            norm, order = text.translate(None, SPACES), (-len(text.decode("utf-8", "replace")), key, row)
             if (seen := best.get(norm)) is None:
                 best[norm] = [order, 1]
             else:
                 seen[0], seen[1] = min(seen[0], order), seen[1] + 1
-        yield pa.record_batch([pa.array(list(best), pa.binary()), pa.array([x[0][0] for x in best.values()], pa.int64()), pa.array([x[0][1] for x in best.values()], pa.int64()), pa.array([x[1] for x in best.values()], pa.int64())], names=["norm", "order", "key", "n"])
+        yield pa.record_batch([pa.array(list(best), pa.binary()), pa.array([x[0][0] for x in best.values()], pa.int64()), pa.array([x[0][1] for x in best.values()], pa.int64()), pa.array([x[0][2] for x in best.values()], pa.int64()), pa.array([x[1] for x in best.values()], pa.int64())], names=["norm", "order", "key", "row", "n"])
 
 
 def exact_groups(docs: DataFrame, owners: int | None = None) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _groups(steady(docs), owners).drop("row", "keep_row")
+
+
+def _groups(docs: DataFrame, owners: int | None) -> DataFrame:
+    """exact_groups of a steady frame, with the row_number() of each row and of the one that stays."""
     spark = docs.sparkSession
-    owners = owners or parts_of(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prints = staged(rows.mapInArrow(_fingerprints, "doc_id long, n_cp long, sha string, fp long, block long"), "fingerprints")
-    small = prints.select("block", "doc_id", "fp")
+    owners = owners or max(parts_of(spark), -(-docs.count() // OWNED))
+    rows = docs.select(key_of().alias("key"), "text", row_number().alias("row"))
+    prints = staged(rows.mapInArrow(_fingerprints, "key long, row long, sha string, fp long, block long"), "fingerprints")
+    small = prints.select("block", "row", "fp")
     sent = small.select("block", "fp").groupBy("block").applyInArrow(_send(owners), "owner int, block long, blob binary")
     answers = sent.groupBy("owner").applyInArrow(_answer, "block long, owner int, bitmap binary")
-    marked = small.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_suspects(owners), "doc_id long")
-    suspects = staged(marked.select(key_of().alias("key")).distinct(), "suspects")
-    keyed = rows.withColumn("key", key_of())
-    texts = keyed.join(suspects, "key", "left_semi").select("doc_id", "text")
+    marked = small.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_suspects(owners), "row long")
+    suspects = staged(marked, "suspects")
+    texts = only_ids(rows, suspects, "row").join(suspects, "row", "left_semi").select("key", "text", "row")
     groups = (
-        texts.mapInArrow(_normalised, "norm binary, `order` long, key long, n long")
+        texts.mapInArrow(_normalised, "norm binary, `order` long, key long, row long, n long")
         .groupBy("norm")
-        .agg(F.min(F.struct("order", "key")).alias("best"), F.sum("n").alias("n"))
+        .agg(F.min(F.struct("order", "key", "row")).alias("best"), F.sum("n").alias("n"))
         .where("n > 1")
-        .select(F.sha2("norm", 256).alias("sha"), F.col("best.key").alias("keep"), F.col("n").alias("size"))
+        .select(F.sha2("norm", 256).alias("sha"), F.col("best.key").alias("keep"), F.col("best.row").alias("keep_row"), F.col("n").alias("size"))
     )
     groups = staged(groups, "groups")
-    joined = prints.select("doc_id", "sha").join(groups, "sha", "left")
-    keep = F.coalesce(F.col("keep"), key_of())
+    joined = prints.select("key", "row", "sha").join(groups, "sha", "left")
+    keep = F.coalesce("keep", "key")
     return joined.select(
-        "doc_id",
-        F.when(keep != F.lit(-(2**63)), keep).alias("keep_id"),
+        F.when(F.col("key") != F.lit(NULL_ID), F.col("key")).alias("doc_id"),
+        F.when(keep != F.lit(NULL_ID), keep).alias("keep_id"),
         F.coalesce("size", F.lit(1).cast("long")).alias("group_size"),
-        (keep == key_of()).alias("kept"),
+        (keep == F.col("key")).alias("kept"),
         F.col("sha").alias("text_sha256"),
+        "row",
+        F.coalesce("keep_row", "row").alias("keep_row"),
     )
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """docs without the rows whose text an earlier choice repeats; all columns stay."""
-    return rows_without(docs, exact_groups(docs).where("not kept").select(key_of()))
+    """docs with one row of each group of equal texts; all columns stay. Rows that repeat id and text are equal, too."""
+    docs = steady(docs)
+    return rows_without(docs, _groups(docs, None).where("row <> keep_row").select("row"))
