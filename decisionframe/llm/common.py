@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -18,8 +19,8 @@ NULL_ID = -(2**63)
 #: White space of the word contracts: [\x20\x09-\x0D].
 SPACES = b" \t\n\x0b\x0c\r"
 U64 = np.uint64
-#: Rows of an Arrow batch at most.
-BATCH = 2000
+#: Rows of an Arrow batch at most; bits of a bitmap of ids at most, as a power of two.
+BATCH, LARGEST = 2000, 27
 
 
 def stage_dir(spark: SparkSession) -> str:
@@ -50,9 +51,29 @@ def key_of(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
 
 
-def _in_bitmap(docs: DataFrame, ids: DataFrame, key: str, bits: int) -> DataFrame:
-    """docs with _hit: whether the key may be in ids. A bitmap of 2**bits hashed keys tells, so at most 1 MB is broadcast
-    whatever the size of ids."""
+#: Nodes of a plan whose partitions and rows are the same in every scan.
+STEADY = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
+
+
+def steady(docs: DataFrame) -> DataFrame:
+    """docs as rows of files, whose order is the same whenever they are read; what is not a plain read of files is staged."""
+
+    def plain(plan) -> bool:
+        below = plan.children()
+        return plan.getClass().getSimpleName() in STEADY and plan.deterministic() and all(plain(below.apply(i)) for i in range(below.size()))
+
+    return docs if plain(docs._jdf.queryExecution().analyzed()) else staged(docs, "rows")
+
+
+def row_number() -> Column:
+    """Tells the rows of a steady frame apart, whatever their ids; rises with their order."""
+    return F.monotonically_increasing_id()
+
+
+def _in_bitmap(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """docs with _hit: whether the key may be in ids (distinct). A bitmap of hashed keys tells; it has about 16 bits for each of
+    ids, and LARGEST at most, so no more than 16 MB are broadcast whatever their number."""
+    bits = min(LARGEST, max(16, (16 * ids.count()).bit_length()))
     at = lambda c: F.shiftrightunsigned(F.xxhash64(c), 64 - bits)
     bitmap = ids.select(at(F.col(key)).alias("h")).groupBy(F.bitmap_bucket_number("h").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_bits"))
     bitmap = staged(bitmap, "bitmap")
@@ -62,21 +83,21 @@ def _in_bitmap(docs: DataFrame, ids: DataFrame, key: str, bits: int) -> DataFram
     return wide.select(*docs.columns, F.coalesce(bit != 0, F.lit(False)).alias("_hit"))
 
 
-def only_ids(docs: DataFrame, ids: DataFrame, key: str, bits: int = 23) -> DataFrame:
+def only_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of docs whose key may be in ids. False positives stay in; an exact join must follow."""
-    return _in_bitmap(docs, ids, key, bits).where("_hit").drop("_hit")
+    return _in_bitmap(docs, ids, key).where("_hit").drop("_hit")
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, key: str, bits: int = 23) -> DataFrame:
+def without_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of docs whose key is not in ids. Only those that the bitmap can't tell are shuffled."""
-    known = _in_bitmap(docs, ids, key, bits)
+    known = _in_bitmap(docs, ids, key)
     return known.where("not _hit").drop("_hit").unionByName(known.where("_hit").drop("_hit").join(ids.select(key), key, "left_anti"))
 
 
 def rows_without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is a key in gone (one column, never null). The rows travel as one struct, so no column
-    of docs can clash; texts are shuffled only where the bitmap can't tell."""
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), key_of().alias("_key"))
+    """docs, a steady frame, without the rows whose row_number() is in gone (one column, distinct). The rows travel as one
+    struct, so no column of docs can clash; texts are shuffled only where the bitmap can't tell."""
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), row_number().alias("_key"))
     return without_ids(packed, staged(gone.toDF("_key"), "gone"), "_key").select("_row.*")
 
 
@@ -94,7 +115,15 @@ def id_array(col: pa.Array) -> np.ndarray:
     return col.cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
 
 
-def slices(batches: Iterator[pa.RecordBatch], most: int = 4 << 20, text: str = "text") -> Iterator[pa.RecordBatch]:
+def trim() -> None:
+    """Gives the allocator's free memory back, as workers live on beside an executor's heap."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 19, text: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut by rows to about most bytes of text; a longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
@@ -105,6 +134,7 @@ def slices(batches: Iterator[pa.RecordBatch], most: int = 4 << 20, text: str = "
             end = max(at + 1, int(np.searchsorted(off, off[at] + most, "right")) - 1)
             yield batch.slice(at, end - at)
             at = end
+    trim()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -164,7 +194,7 @@ def word_bounds(data: np.ndarray, off: np.ndarray, is_space: np.ndarray) -> tupl
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[list(SPACES)] = True
 #: Symbols per step of the byte fingerprints; bounds the memory of temporaries.
-STEP = 1 << 19
+STEP = 1 << 16
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rolling: Rolling, lower: bool = False) -> np.ndarray:
@@ -202,6 +232,9 @@ def prepare(spark: SparkSession) -> None:
     two workers beside an executor's heap small whatever the length of the texts."""
     workers_import(spark)
     spark.sparkContext.environment["ARROW_DEFAULT_MEMORY_POOL"] = "system"
+    # large arrays are mapped by themselves, so freeing one gives its memory back; those of a step are smaller
+    spark.sparkContext.environment["MALLOC_MMAP_THRESHOLD_"] = str(2 << 20)
+    spark.sparkContext.environment["MALLOC_ARENA_MAX"] = "2"
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
 
