@@ -3,9 +3,10 @@
 A document's set is its distinct word shingles as 64-bit fingerprints. XOR-hashing them into a sketch
 of parity bits makes the Hamming distance of two sketches a lower bound of the symmetric difference,
 which a Jaccard similarity of t or more bounds by (1 - t) / (1 + t) * (a + b). Per size band, the
-sketch has so many parts that more than a number `spare` of them must be equal in any linked pair (pigeonhole);
-parts with at most POOR set bits are left out by documents with no more than `spare` of them, which keeps
-the guarantee and drops the parts that unrelated documents share by having nothing in them.
+sketch has so many parts that more than a number `spare` of them must be equal in any linked pair
+(pigeonhole). So a document may leave out its `spare` first parts in any order that is the same for all
+documents, and a linked pair still meets in one at least: first come parts with no bit set, which are not even
+sent, then those that most documents share, as boilerplate and common passages make them.
 
 Documents with equal sets are one class first. Equal parts meet at their owners, where each document
 is paired with the smallest of its part only; these stars are verified and give components. Where
@@ -16,8 +17,9 @@ between components is lost and no pairs are enumerated within them.
 
 Defined cases: a document without words or a null text has an empty set and is linked with nothing;
 one with fewer words than a shingle has one shingle of all its words; a null doc_id sorts before all
-others and is returned as null; rows that repeat a doc_id are one node, which has all their links.
-Extra columns are ignored. An empty table gives an empty result.
+others and is returned as null; rows that repeat a doc_id are nodes of their own, told apart by their place in
+the files; a very long text is a slice of its own; of equally small ids in a component the first row stays in near_dedup.
+Extra columns are ignored, or kept by near_dedup. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,24 +28,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, NULL_ID, U64, id_array, key_of, mix, only_ids, parts_of, rows_without, slices, staged, text_buffer, without_ids, word_bounds, word_hashes
+from .common import IS_SPACE, NULL_ID, U64, id_array, key_of, mix, only_ids, parts_of, row_number, rows_without, slices, staged, steady, text_buffer, without_ids, word_bounds, word_hashes
 from .components import components
 from .repeats import WORDS, changes
 
 #: Words of a shingle; least similarity in hundredths.
 SHINGLE, PERCENT = 4, 85
-#: Poor parts that a document may leave out, as a share of the bound; most bits set in a poor part; places in a part, as a power of two.
-RATIO_SPARE, POOR, PART_BITS = 0.2, 1, 16
+#: Parts that a document may leave out, as a share of the bound; places in a part, as a power of two.
+RATIO_SPARE, PART_BITS = 0.4, 16
 #: 64-bit words of the sketch that pairs across components are compared by.
 SKETCH = 8
 #: Rounds of stars before pairs across components are looked at.
 ROUNDS = 4
-MEMBER = np.dtype([("key", "<u8"), ("doc", "<i8")])
+#: A part key whose last bit tells a document's two size bands apart, a document, and how many parts of the band it may still leave out.
+MEMBER = np.dtype([("key", "<u8"), ("doc", "<i8"), ("room", "<i4")])
 #: Part keys that a task holds before it compares and sends them.
-HELD = 2_000_000
+HELD = 1_000_000
 
 
 def shingles(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,8 +100,8 @@ class Bands:
         return apart + 1 + spare, spare
 
 
-def part_keys(h: np.ndarray, band: int, shape: tuple[int, int]) -> np.ndarray:
-    """Keys of the parts that a document with these sorted shingles sends in this band."""
+def part_keys(h: np.ndarray, band: int, shape: tuple[int, int]) -> tuple[np.ndarray, int]:
+    """Keys of the parts that a document with these sorted shingles sends in this band, and how many more it may leave out."""
     parts, spare = shape
     x = (h >> U64(32)) * U64(parts)
     position = x >> U64(32 - PART_BITS)  # part number and bit within the part, ascending
@@ -107,14 +110,15 @@ def part_keys(h: np.ndarray, band: int, shape: tuple[int, int]) -> np.ndarray:
     odd = (np.diff(np.append(heads, len(h))) & 1) == 1
     bits = position[heads[odd]]  # the bits that are set
     part = (bits >> U64(PART_BITS)).astype(np.int64)
-    key = np.zeros(parts, U64)
+    key, empty = np.zeros(parts, U64), np.ones(parts, bool)
     first = np.flatnonzero(changes(part))
     if len(first):
         key[part[first]] = np.bitwise_xor.reduceat(mix(bits), first)
-    rich = np.bincount(part, minlength=parts) > POOR
+        empty[part] = False
+    left_out = np.flatnonzero(empty)[:spare]
     salt = mix(np.arange(parts, dtype=U64) + U64(band << 32))
-    key = mix(key ^ salt)
-    return key[rich] if parts - int(rich.sum()) <= spare else key
+    key = mix(key ^ salt) & ~U64(1) | U64(band & 1)
+    return np.delete(key, left_out), spare - len(left_out)
 
 
 def sketches(h: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -126,7 +130,7 @@ def sketches(h: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(n, 64 * SKETCH), axis=1).view("<i8").reshape(n, SKETCH)
 
 
-INFO = "key long, n long, one long, two long"
+INFO = "key long, id long, n long, one long, two long"
 
 
 def _info(size: int):
@@ -135,22 +139,24 @@ def _info(size: int):
             h, off = shingles(*text_buffer(batch.column(1)), size)
             total = np.concatenate([[U64(0)], np.cumsum(h, dtype=U64)])
             other = np.concatenate([[U64(0)], np.cumsum(mix(h ^ U64(0xA5A5A5A5A5A5A5A5)), dtype=U64)])
-            yield pa.record_batch([pa.array(id_array(batch.column(0))), pa.array(np.diff(off)), pa.array((total[off[1:]] - total[off[:-1]]).view(np.int64)), pa.array((other[off[1:]] - other[off[:-1]]).view(np.int64))], names=["key", "n", "one", "two"])
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(np.diff(off)), pa.array((total[off[1:]] - total[off[:-1]]).view(np.int64)), pa.array((other[off[1:]] - other[off[:-1]]).view(np.int64))], names=["key", "id", "n", "one", "two"])
 
     return run
 
 
 SENT = "part int, blob binary"
-STAR = "part_key long, head long, doc long"
+STAR = "part_key long, head long, doc long, head_room long, room long"
 
 
-def _stars(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Members sorted by key and document: which are first of their key, and the first one's document for each."""
+def _stars(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first members of all keys by document, and each other member's star with the first of its key, as STAR."""
     m = m[np.lexsort((m["doc"], m["key"]))]
     m = m[changes(m["key"], m["doc"])]
     new = changes(m["key"])
-    head = m["doc"][np.flatnonzero(new)[np.cumsum(new) - 1]] if len(m) else m["doc"]
-    return m, new, head
+    first = m[np.flatnonzero(new)]
+    head = (np.cumsum(new) - 1)[~new]
+    rest = m[~new]
+    return first, np.column_stack([rest["key"].view(np.int64), first["doc"][head], rest["doc"], first["room"][head], rest["room"]]).astype("<i8").reshape(-1, 5)
 
 
 def _send(percent: int, size: int, owners: int):
@@ -158,9 +164,7 @@ def _send(percent: int, size: int, owners: int):
     bands = Bands(percent)
 
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
-        m, new, head = _stars(np.concatenate(held))
-        rest, first = ~new, m[new]
-        star = np.column_stack([m["key"][rest].view(np.int64), head[rest], m["doc"][rest]]).astype("<i8")
+        first, star = _stars(np.concatenate(held))
         owner = ((first["key"] >> U64(32)) * U64(owners) >> U64(32)).astype(np.int64)
         cuts = np.searchsorted(owner, np.arange(owners + 1))
         there = [i for i in range(owners) if cuts[i] < cuts[i + 1]]
@@ -180,9 +184,9 @@ def _send(percent: int, size: int, owners: int):
                     continue
                 band = bands.of(b - a)
                 for label in {band, max(0, band - 1)}:
-                    keys = part_keys(h[a:b], label, bands.shape(label))
+                    keys, room = part_keys(h[a:b], label, bands.shape(label))
                     out = np.empty(len(keys), MEMBER)
-                    out["key"], out["doc"] = keys, doc
+                    out["key"], out["doc"], out["room"] = keys, doc, room
                     held.append(out)
                     n += len(out)
             if n >= HELD:
@@ -200,17 +204,15 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if part < 0:
-                yield _star_rows(np.frombuffer(blob, "<i8").reshape(-1, 3))
+                yield _star_rows(np.frombuffer(blob, "<i8").reshape(-1, 5))
             else:
                 held.setdefault(part, []).append(np.frombuffer(blob, MEMBER))
     for part in sorted(held):
-        m, new, head = _stars(np.concatenate(held.pop(part)))
-        rest = ~new
-        yield _star_rows(np.column_stack([m["key"][rest].view(np.int64), head[rest], m["doc"][rest]]))
+        yield _star_rows(_stars(np.concatenate(held.pop(part)))[1])
 
 
 def _star_rows(x: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(np.ascontiguousarray(x[:, k]), pa.int64()) for k in range(3)], names=["part_key", "head", "doc"])
+    return pa.record_batch([pa.array(np.ascontiguousarray(x[:, k]), pa.int64()) for k in range(5)], names=["part_key", "head", "doc", "head_room", "room"])
 
 
 def _sets(size: int):
@@ -256,6 +258,16 @@ def _ruled_in(percent: int) -> Column:
     return (apart * (100 + percent) <= (F.col("l.n") + F.col("r.n")) * (100 - percent)) & (F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * percent)
 
 
+def _members(stars: DataFrame) -> DataFrame:
+    """part_key, doc: the parts that documents share, without those that each may leave out: the ones shared by most."""
+    shared = staged(stars.select("part_key", "doc", "room").unionByName(stars.select("part_key", F.col("head").alias("doc"), F.col("head_room").alias("room"))).distinct(), "members")
+    ranked = shared.join(shared.groupBy("part_key").agg(F.count("*").alias("heat")), "part_key")
+    first = Window.partitionBy("doc", F.col("part_key").bitwiseAND(F.lit(1))).orderBy(F.col("heat").desc(), "part_key")
+    kept = staged(ranked.withColumn("rank", F.row_number().over(first)).where("rank > room").select("part_key", "doc"), "kept")
+    alone = kept.groupBy("part_key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("part_key")
+    return staged(kept.join(alone, "part_key", "left_semi"), "members")
+
+
 def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
     """part_key, doc, comp of the parts in which documents of different components meet."""
     known = members.join(comps.select(F.col("node").alias("doc"), "comp"), "doc", "left").select("part_key", "doc", F.coalesce("comp", "doc").alias("comp"))
@@ -277,11 +289,17 @@ def _star_pairs(open_: DataFrame, r: int) -> DataFrame:
 
 def linked_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, owners: int | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id."""
+    return _components(steady(docs), percent, size, owners).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, percent: int, size: int, owners: int | None = None) -> DataFrame:
+    """linked_components of a steady frame, with the row_number() of each row and of the one that stands for its component.
+    Inside, a row is known by its number, `key`."""
     spark = docs.sparkSession
     n = parts_of(spark)
     owners = owners or 4 * n
-    rows = docs.select(key_of().alias("key"), "text")
-    info = staged(rows.mapInArrow(_info(size), INFO), "sets")
+    rows = docs.select(row_number().alias("key"), "text")
+    info = staged(docs.select(row_number().alias("key"), "text", key_of().alias("id")).mapInArrow(_info(size), INFO), "sets")
     # equal sets are one class; its smallest document stands for it
     classes = info.where("n > 0").groupBy("n", "one", "two").agg(F.min("key").alias("rep"), F.count("*").alias("copies"))
     copies = staged(classes.where("copies > 1").drop("copies"), "classes")
@@ -289,14 +307,15 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, size: int = SHING
     of_class = staged(of_class.groupBy("key").agg(F.min("rep").alias("rep")), "copies")
     sent = without_ids(rows, of_class.select("key"), "key").mapInArrow(_send(percent, size, owners), SENT)
     stars = staged(sent.repartitionById(n, F.expr(f"pmod(part, {n})")).mapInArrow(_meet, STAR), "stars")
+    members = _members(stars)
     # each document's smallest partner first, which joins most groups
-    nearest = staged(stars.groupBy("doc").agg(F.min("head").alias("head")), "nearest")
-    wanted = staged(stars.select(F.col("doc").alias("key")).unionByName(stars.select(F.col("head").alias("key"))).distinct(), "wanted")
-    sets = staged(only_ids(rows, wanted, "key").join(wanted, "key", "left_semi").mapInArrow(_sets(size), SETS).dropDuplicates(["key"]), "shingles")
+    heads = members.groupBy("part_key").agg(F.min("doc").alias("head"))
+    nearest = staged(members.join(heads, "part_key").where("doc <> head").groupBy("doc").agg(F.min("head").alias("head")), "nearest")
+    wanted = staged(members.select(F.col("doc").alias("key")).distinct(), "wanted")
+    sets = staged(only_ids(rows, wanted, "key").join(wanted, "key", "left_semi").mapInArrow(_sets(size), SETS), "shingles")
     tried = verified(nearest.select(F.col("head").alias("a"), F.col("doc").alias("b")), sets, percent)
     edges = tried.where("linked").select("a", "b")
     comps = components(edges)
-    members = staged(stars.select("part_key", "doc").unionByName(stars.select("part_key", F.col("head").alias("doc"))).distinct(), "members")
     for r in range(ROUNDS):
         # where components still meet: everyone against the document that shares most parts, then against random ones
         open_ = staged(_open(members, comps), "open")
@@ -305,9 +324,10 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, size: int = SHING
         pairs = _star_pairs(open_, r)
         more = verified(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), sets, percent)
         tried = tried.unionByName(more)
-        if more.where("linked").take(1):
-            edges = edges.unionByName(more.where("linked").select("a", "b"))
-            comps = components(edges)
+        if not more.where("linked").take(1):
+            break
+        edges = edges.unionByName(more.where("linked").select("a", "b"))
+        comps = components(edges)
     # what is left: pairs across components that share a part
     open_ = _open(members, comps)
     members = staged(open_.withColumnRenamed("doc", "key").join(sets.drop("shingles"), "key"), "across")
@@ -318,13 +338,18 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, size: int = SHING
         comps = components(edges.unionByName(more))
     comp_of = comps.select(F.col("node").alias("rep"), "comp")
     roots = of_class.join(comp_of, "rep", "left").select("key", F.coalesce("comp", "rep").alias("root"))
-    roots = roots.unionByName(comps.select(F.col("node").alias("key"), F.col("comp").alias("root"))).groupBy("key").agg(F.min("root").alias("root"))
-    root = F.coalesce("root", "key")
+    # a class of its own is known by its smallest member, which is no copy
+    alone = of_class.select(F.col("rep").alias("key")).distinct().join(comps.select(F.col("node").alias("key")), "key", "left_anti").select("key", F.col("key").alias("root"))
+    roots = staged(roots.unionByName(comps.select(F.col("node").alias("key"), F.col("comp").alias("root"))).unionByName(alone), "roots")
+    first = roots.join(info.select("key", "id"), "key").groupBy("root").agg(F.min(F.struct("id", "key")).alias("first"))
+    known = roots.join(first, "root").select("key", "first")
     null = F.lit(NULL_ID)
-    return info.join(roots, "key", "left").select(F.when(F.col("key") != null, F.col("key")).alias("doc_id"), F.col("n").alias("n_shingles"), F.when(root != null, root).alias("component_id"))
+    joined = info.select("key", "id", "n").join(known, "key", "left")
+    component = F.coalesce("first.id", "id")
+    return joined.select(F.when(F.col("id") != null, F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.when(component != null, component).alias("component_id"), F.col("key").alias("row"), F.coalesce("first.key", "key").alias("keep_row"))
 
 
 def near_dedup(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """docs with one document of each component, the one with the smallest doc_id; all columns stay."""
-    found = linked_components(docs, percent, size)
-    return rows_without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key_of()))
+    docs = steady(docs)
+    return rows_without(docs, _components(docs, percent, size).where("row <> keep_row").select("row"))
