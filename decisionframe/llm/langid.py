@@ -1,20 +1,21 @@
-"""Language ID: sparse multinomial logistic regression on TF-IDF byte n-grams.
-
-Texts are folded (ASCII lower case, everything but letters to spaces) and their n-grams of 1 to 3
-bytes, and 4 with the word's edges, are hashed into BUCKETS. Document frequencies come from all
-documents that may be learned from; the weights are trained on a sample of at most SAMPLE of them, and
-at most FLOOR more of each language so that none is missed, by follow-the-regularised-leader with an
-elastic-net penalty, and a temperature is fitted on a fifth of each language's sample that the weights
-have not seen.
-
-Defined cases: a text that is null or has no letter is `und` with score 0; so is every text if nothing
-can be learned from; repeated rows are predicted one by one; a null doc_id is never learned from and
-is not held out. Extra columns are ignored.
+"""Language ID: sparse multinomial logistic regression on TF-IDF character n-grams.
+
+Texts are folded (lower case, everything but letters and marks to spaces) and their n-grams of 1 to 3 characters, and 4
+with an edge of a word, are hashed into BUCKETS. A batch becomes sorted (row, bucket) keys and their counts, so memory
+follows the characters of a step and not rows times buckets. Document frequencies come from all documents that may be
+learned from; the weights are trained on a sample of at most SAMPLE of them, and at most FLOOR more of each language so
+that none is missed, by follow-the-regularised-leader with an elastic-net penalty, and a temperature is fitted on a fifth
+of each language's sample that the weights have not seen.
+
+Defined cases: a text that is null or has no letter is `und` with score 0; so is every text if nothing can be learned
+from; very long texts are counted in steps of STEP bytes; bytes that are no UTF-8 count as spaces; repeated rows are
+predicted one by one, ties between languages go to the first by name; a null doc_id is never learned from and is not
+held out. Extra columns are ignored by `identify` and kept by `identified`. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_array, id_column, slices, text_buffer
+from .common import U64, id_array, id_column, slices, text_buffer
 
 BITS = 14
 BUCKETS = 1 << BITS
@@ -33,10 +34,11 @@ SAMPLE, FLOOR, EPOCHS = 4000, 50, 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-5
 #: Label mass spread over all languages while the temperature is fitted.
 SMOOTH = 0.02
-#: Bytes of text counted at a time: their dense counts fit in memory.
-SLICE = 1 << 19
-FOLD = np.array([c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256)], np.uint8)
-LETTER = re.compile(r"[^\W\d_]")
+#: Bytes of a slice of rows, and of a step within it: n-grams of a step are in memory at once.
+SLICE, STEP = 1 << 18, 1 << 16
+#: Code points that are looked up; those above are no letters.
+KNOWN = 0x32400
+SPACE = 32
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -44,32 +46,94 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Rows by buckets: how often each n-gram bucket occurs."""
-    rows = len(off) - 1
-    folded = FOLD[data].astype(np.uint32)
-    out = np.zeros(rows * BUCKETS, np.float32)
-    size = np.diff(off)
-    row = np.repeat(np.arange(rows, dtype=np.int64), size) << BITS
-    code = np.zeros(len(folded), np.uint32)
-    for n in range(1, 5):
-        m = len(folded) - n + 1
-        if m <= 0:
-            break
-        code = code[:m] << np.uint32(8) | folded[n - 1 :] if n > 1 else folded.copy()
-        same = row[:m] == row[n - 1 :]
-        if n == 4:  # with an edge of a word only
-            same &= (folded[:m] == 32) | (folded[n - 1 :] == 32)
-        at = np.flatnonzero(same)
-        bucket = (code[at] * np.uint32(0x9E3779B1) + np.uint32(n * 0x85EBCA77 & 0xFFFFFFFF)) * np.uint32(0xC2B2AE35) >> np.uint32(32 - BITS)
-        out += np.bincount(row[at] + bucket, minlength=rows * BUCKETS).astype(np.float32)
-    return out.reshape(rows, BUCKETS)
-
-
-def weighted(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(x) * idf
-    norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
-    return x / np.maximum(norm, 1e-12)
+def fold_table() -> np.ndarray:
+    """For each code point its lower case if it is a letter or mark, else a space."""
+    out = np.full(KNOWN + 1, SPACE, np.uint64)
+    for c in range(KNOWN):
+        if unicodedata.category(x := chr(c))[0] in "LM":
+            out[c] = ord(x.lower()[0])
+    return out
+
+
+_FOLD: list[np.ndarray] = []
+
+
+def folded(raw: bytes) -> np.ndarray:
+    """The folded code points of a text."""
+    if not _FOLD:
+        _FOLD.append(fold_table())
+    return _FOLD[0][np.minimum(np.frombuffer(raw.decode("utf-8").encode("utf-32-le", "surrogatepass"), "<u4"), KNOWN)]
+
+
+def valid(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buffer with spaces for rows' bytes that are no UTF-8."""
+    raw = data.tobytes()
+    try:
+        raw.decode("utf-8")
+        return data, off
+    except UnicodeDecodeError:
+        rows = [raw[a:b].decode("utf-8", "replace").replace("\ufffd", " ").encode() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+        return np.frombuffer(b"".join(rows), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+
+
+def _lead(data: np.ndarray, at: int) -> int:
+    """The first place from at on where a character begins."""
+    while at < len(data) and data[at] & 0xC0 == 0x80:
+        at += 1
+    return min(at, len(data))
+
+
+def summed(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and the sums of n (1 each if there is none)."""
+    if n is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    size = np.diff(np.append(heads, len(keys))) if n is None else np.add.reduceat(n, heads) if len(keys) else np.zeros(0, np.int64)
+    return keys[heads], size
+
+
+def ngrams(data: np.ndarray, off: np.ndarray, step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and count of all n-gram buckets, sorted by row and bucket; and which rows have a letter."""
+    data, off = valid(data, off)
+    rows, low, found = len(off) - 1, 0, []
+    letters = np.zeros(rows, bool)
+    kind = np.uint32 if rows < 1 << (32 - BITS) else np.uint64
+    while low < len(data):
+        high = _lead(data, min(len(data), low + step))
+        stop = _lead(data, min(len(data), high + 12))  # three characters more at least
+        code = folded(data[low:stop].tobytes())
+        begins = np.concatenate([[0], np.cumsum((data[low:stop] & 0xC0) != 0x80)])
+        size = np.diff(begins[np.clip(off, low, stop) - low])
+        row = np.repeat(np.arange(rows, dtype=kind), size)
+        letter, mine = code != SPACE, int(begins[high - low])
+        letters |= np.bincount(row[letter], minlength=rows) > 0
+        keys, h = [], np.zeros(len(code), U64)
+        for n in range(1, 5):
+            m = len(code) - n + 1
+            if m <= 0:
+                break
+            h = h[:m] * U64(0x9E3779B97F4A7C15) + code[n - 1 :]
+            ok = row[:m] == row[n - 1 :]
+            ok[mine:] = False
+            if n == 1:
+                ok &= letter
+            elif n == 4:
+                ok &= ~(letter[:m] & letter[n - 1 :])
+            bucket = (h[ok] + U64(n)) * U64(0xC2B2AE3D27D4EB4F) >> U64(64 - BITS)
+            keys.append(row[:m][ok] << kind(BITS) | bucket.astype(kind))
+        found.append(summed(np.concatenate(keys)))
+        low = high
+    keys, n = found[0] if len(found) == 1 else summed(*(np.concatenate(x) for x in zip(*found, strict=True))) if found else (np.zeros(0, kind), np.zeros(0, np.int64))
+    return (keys >> kind(BITS)).astype(np.int64), (keys & kind(BUCKETS - 1)).astype(np.int64), n, letters
+
+
+def weighted(row: np.ndarray, bucket: np.ndarray, n: np.ndarray, idf: np.ndarray, rows: int) -> np.ndarray:
+    """TF-IDF values of unit length per row."""
+    x = np.log1p(n) * idf[bucket]
+    return x / np.maximum(np.sqrt(np.bincount(row, x * x, minlength=rows)), 1e-12)[row]
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -85,10 +149,17 @@ class Model:
     bias: np.ndarray
     temperature: float
 
-    def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
-        p = softmax((weighted(x, self.idf) @ self.weights + self.bias) / self.temperature)
+    def predict(self, data: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """Language and score of each row."""
+        rows = len(off) - 1
+        row, bucket, n, letters = ngrams(data, off)
+        x = weighted(row, bucket, n, self.idf, rows)
+        used = self.weights.any(axis=1)[bucket]
+        row, bucket, x = row[used], bucket[used], x[used]
+        z = np.column_stack([np.bincount(row, x * w[bucket], minlength=rows) for w in self.weights.T]) + self.bias
+        p = softmax(z / self.temperature)
         best = p.argmax(axis=1)
-        return [self.langs[k] for k in best], p[np.arange(len(p)), best]
+        return [self.langs[k] if ok else "und" for k, ok in zip(best.tolist(), letters.tolist(), strict=True)], np.where(letters, p[np.arange(rows), best], 0.0)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +201,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, n = np.zeros(BUCKETS, np.int64), 0
     for batch in slices(batches, SLICE):
         data, off = text_buffer(batch.column(0))
-        total += (counts(data, off) > 0).sum(axis=0)
+        total += np.bincount(ngrams(data, off)[1], minlength=BUCKETS)
         n += batch.num_rows
     if n:
         yield pa.record_batch([pa.array(np.arange(BUCKETS + 1), pa.int32()), pa.array(np.append(total, n), pa.int64())], names=["bucket", "n"])
@@ -139,9 +210,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, SLICE):
         data, off = text_buffer(batch.column(0))
-        x = counts(data, off)
-        at = [np.flatnonzero(r) for r in x]
-        yield pa.record_batch([batch.column(1), pa.array([a.astype("<u2").tobytes() for a in at], pa.binary()), pa.array([r[a].tobytes() for r, a in zip(x, at, strict=True)], pa.binary())], names=["lang", "at", "x"])
+        row, bucket, n, _ = ngrams(data, off)
+        cuts = np.searchsorted(row, np.arange(batch.num_rows + 1)).tolist()
+        at, x = bucket.astype("<u2"), n.astype("<f4")
+        yield pa.record_batch([batch.column(1), *(pa.array([v[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()) for v in (at, x))], names=["lang", "at", "x"])
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
@@ -184,19 +256,9 @@ def hash_row(at: np.ndarray) -> int:
 
 
 def predictions(model: Model | None, data: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray]:
-    raw = data.tobytes()
-    letters = [any_letter(raw[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
     if model is None:
-        return ["und"] * len(letters), np.zeros(len(letters))
-    lang, score = model.predict(counts(data, off))
-    return [x if ok else "und" for x, ok in zip(lang, letters, strict=True)], np.where(letters, score, 0.0).astype(np.float64)
-
-
-ASCII_LETTERS = bytes(1 if 65 <= c <= 90 or 97 <= c <= 122 else 0 for c in range(256))
-
-
-def any_letter(text: bytes) -> bool:
-    return b"\x01" in text[:256].translate(ASCII_LETTERS) or b"\x01" in text.translate(ASCII_LETTERS) or LETTER.search(text.decode("utf-8", "replace")) is not None
+        return ["und"] * (len(off) - 1), np.zeros(len(off) - 1)
+    return model.predict(data, off)
 
 
 def identify(docs: DataFrame, model: Model | None = None, sample: int = SAMPLE) -> DataFrame:

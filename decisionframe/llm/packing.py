@@ -64,7 +64,7 @@ def little_endian(ids: list[int]) -> bytes:
 class Pieces(dict):
     """Pieces, or odd words, to their ids as little-endian bytes; two generations bound what is kept."""
 
-    MOST = 200_000
+    MOST = 100_000
 
     def __init__(self, encode: Callable[[str], list[int]]) -> None:
         super().__init__()
@@ -100,6 +100,12 @@ class Ids:
         self.pieces = Pieces(lambda piece: [x.id for x in model.tokenize("".join([letters[b] for b in piece.encode()]))])
         self.odd = Pieces(self.whole)
 
+    def forget(self) -> None:
+        """Drops the ids kept so far; the next task starts anew."""
+        for kept in (self.pieces, self.odd):
+            kept.clear()
+            kept.old = {}
+
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -205,6 +211,7 @@ def _pack(path: str, capacity: int, windows: int, least: int):
             if done := packer.take():
                 yield _rows(done, (part << 33) + n)
                 n += len(done)
+        ids.forget()
         rest = packer.merge()
         if done := packer.take():
             yield _rows(done, (part << 33) + n)
