@@ -24,3 +24,8 @@ def u01(*parts: Column | str) -> Column:
 def pick(values: list[str], *parts: Column | str) -> Column:
     """One of values, by the hash of the parts."""
     return F.element_at(F.array(*map(F.lit, values)), (keyed(*parts) % len(values) + 1).cast("int"))
+
+
+def sha256(c: Column) -> Column:
+    """Sixty-four lower-case hexadecimal digits."""
+    return F.sha2(c.cast("string"), 256)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from pyspark.sql import functions as F
 _EDGES = r"^(?U:\s)+|(?U:\s)+$"
 
 
+def bound(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c) with c computed once, however often use names it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, _EDGES, "")
 
@@ -28,11 +35,15 @@ def clean_text(c: Column, most: int = 0) -> Column:
     s = strip(s)
     if not most:
         return s
-    cut = F.substring(s, 1, most)
-    back = F.locate(" ", F.reverse(cut))
-    blank = F.when(back > 0, F.lit(most) - back).otherwise(-1)
-    short = F.when(blank > 0.8 * most, F.substring(cut, F.lit(1), blank)).otherwise(cut)
-    return F.when(F.length(s) > most, F.concat(F.regexp_replace(short, r"(?U:\s)+$", ""), F.lit(" ..."))).otherwise(s)
+
+    def short(s: Column) -> Column:
+        cut = F.substring(s, 1, most)
+        back = F.locate(" ", F.reverse(cut))
+        blank = F.when(back > 0, F.lit(most) - back).otherwise(-1)
+        head = F.when(blank > 0.8 * most, F.substring(cut, F.lit(1), blank)).otherwise(cut)
+        return F.when(F.length(s) > most, F.concat(F.regexp_replace(head, r"(?U:\s)+$", ""), F.lit(" ..."))).otherwise(s)
+
+    return bound(s, short)
 
 
 def humanize(c: Column) -> Column:

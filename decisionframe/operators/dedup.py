@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import h60
+from ..functions.hashing import h60, sha256
 from ..functions.text import norm_text
 
 BANDS, MOST_BITS = 4, 3
@@ -39,9 +39,10 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def record_key() -> Column:
-    """state, question and options in their order, normalised; the answer is no part of it."""
+    """state, question and options in their order, normalised; the answer is no part of it. Of 256 bits, so that no two of any
+    number of different records share one."""
     options = F.array_join(F.transform("options", norm_text), "|")
-    return h60(F.concat_ws("|", norm_text(F.col("state")), norm_text(F.col("question")), options))
+    return sha256(F.concat_ws("|", norm_text(F.col("state")), norm_text(F.col("question")), options))
 
 
 def first_wins(df: DataFrame, key: Column, *order: str) -> DataFrame:

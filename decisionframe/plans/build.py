@@ -51,7 +51,10 @@ def prepared(records: DataFrame, cfg: Config, deleted: DataFrame | None = None,
         rows = exclude(rows, deleted, cfg.disabled)
     if lookups is not None:
         rows = aug.augment(rows, lookups.labels, lookups.levels, lookups.criteria)
-    return rows.withColumn("reason", invalid_reason(cfg.max_options))
+    # a column that is not deterministic keeps filters on `reason` above it: below, they would clean every text anew for
+    # each time that a rule names it
+    here = F.monotonically_increasing_id() >= 0
+    return rows.withColumn("reason", F.when(here, invalid_reason(cfg.max_options)))
 
 
 def build(records: DataFrame, cfg: Config, deleted: DataFrame | None = None, lookups: Lookups | None = None, repeat: bool = True) -> DataFrame:
