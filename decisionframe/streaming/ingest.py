@@ -11,9 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 def ingest(spark: SparkSession, source: str, schema: str, sink: str, checkpoint: str, key: str = "jid", retry: str | None = None, files: int = 100, watermark: tuple[str, str] | None = None) -> StreamingQuery:
     """Append the files that arrive in source to sink, each key once over all runs; rows whose status is 'error' go to retry and
-    stay unseen, so they may come again. With a watermark (column, delay) the keys that are kept are bounded by it."""
+    stay unseen, so they may come again; rows without a status are good. With a watermark (column, delay) the keys that are kept are bounded by it."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).json(source)
-    good = rows.where("status <> 'error'")
+    good = rows.where("not (status <=> 'error')")
     if watermark:
         good = good.withWatermark(*watermark).dropDuplicatesWithinWatermark([key])
     else:
