@@ -128,29 +128,29 @@ def toy(spark: SparkSession, name: str, n: int, seed: int = 1234) -> DataFrame:
     draw = lambda what, k, *more: _below(k, name, s, i, what, *more)
     if name == "stock":
         rows = rows.withColumns({"a": draw("a", 100), "b": draw("b", 100)})
-        state = F.format_string("Warehouse stock: %d items. New order: %d items.", "a", "b")
-        return record(rows, id=id_, source="toy:stock", type="binary", state=state, question=F.lit("Can the order be filled from stock?"), options=F.array(F.lit("yes"), F.lit("no")), answer=one(F.when(F.col("a") >= F.col("b"), 0).otherwise(1)))
+        state = F.format_string("The shelf holds %d crates and a visitor asks for %d.", "a", "b")
+        return record(rows, id=id_, source="toy:stock", type="binary", state=state, question=F.lit("Does the shelf hold enough for this visitor?"), options=F.array(F.lit("yes"), F.lit("no")), answer=one(F.when(F.col("a") >= F.col("b"), 0).otherwise(1)))
     if name == "delay":
         rows = rows.withColumn("d", draw("d", 12))
-        level = F.when(F.col("d") < 2, 0).when(F.col("d") < 4, 1).when(F.col("d") < 6, 2).when(F.col("d") < 9, 3).otherwise(4)
-        return record(rows, id=id_, source="toy:delay", type="score", state=F.format_string("The parcel was delivered %d days late.", "d"), question=F.lit("How severe is the delay, from 1 to 5?"), options=F.array(*(F.lit(str(k)) for k in range(1, 6))), answer=one(level))
+        level = F.when(F.col("d") < 1, 0).when(F.col("d") < 3, 1).when(F.col("d") < 7, 2).when(F.col("d") < 10, 3).otherwise(4)
+        return record(rows, id=id_, source="toy:delay", type="score", state=F.format_string("An answer to this letter took %d weeks.", "d"), question=F.lit("How slow was the answer, on a scale of 1 to 5?"), options=F.array(*(F.lit(str(k)) for k in range(1, 6))), answer=one(level))
     places = lambda k: F.sequence(F.lit(0), k - 1)
     if name == "cheapest":
         rows = rows.withColumns({"k": draw("k", 4) + 2, "base": draw("base", 50) + 10})
         # distinct prices: a step of its own for each shop around the base
         prices = F.transform(places(F.col("k")), lambda j: F.col("base") + 7 * ((j * 3 + F.col("base")) % 5) + j)
         rows = rows.withColumn("prices", prices)
-        shops = F.transform(places(F.col("k")), lambda j: F.concat(F.lit("shop "), F.substring(F.lit("ABCDE"), j + 1, F.lit(1))))
-        state = F.concat(F.lit("Quotes received: "), F.array_join(F.zip_with(shops, "prices", lambda x, p: F.concat(x, F.lit(" $"), p.cast("string"))), "; "), F.lit("."))
-        return record(rows, id=id_, source="toy:cheapest", type="choice", state=state, question=F.lit("Which shop has the lowest price?"), options=shops, answer=one(F.array_position("prices", F.array_min("prices")) - 1))
+        shops = F.transform(places(F.col("k")), lambda j: F.concat(F.lit("bidder "), F.substring(F.lit("ABCDE"), j + 1, F.lit(1))))
+        state = F.concat(F.lit("Sealed bids by height: "), F.array_join(F.zip_with(shops, "prices", lambda x, p: F.concat(x, F.lit(" at "), p.cast("string"))), "; "), F.lit("."))
+        return record(rows, id=id_, source="toy:cheapest", type="choice", state=state, question=F.lit("Whose bid is the lowest one?"), options=shops, answer=one(F.array_position("prices", F.array_min("prices")) - 1))
     if name == "tags":
-        items = ["lamp", "chair", "table", "vase", "clock"]
+        items = ["apple", "bread", "cheese", "honey", "plum"]
         rows = rows.withColumns({"k": draw("k", 3) + 3})
         options = F.slice(F.array(*map(F.lit, items)), F.lit(1), F.col("k"))
-        inside = F.filter(places(F.col("k")), lambda j: u01(name, s, i, "in", j) < 0.4)
+        inside = F.filter(places(F.col("k")), lambda j: u01(name, s, i, "in", j) < 0.5)
         rows = rows.withColumns({"options": options, "inside": inside})
-        state = F.concat(F.lit("Packing slip for box "), i.cast("string"), F.lit(": "), F.array_join(F.array_append(F.transform("inside", lambda j: F.get("options", j)), F.lit("packing paper")), ", "), F.lit("."))
-        return record(rows, id=id_, source="toy:tags", type="multi", state=state, question=F.lit("Which of these items are in the box?"), options=F.col("options"), answer=F.col("inside"))
+        state = F.concat(F.lit("Basket "), i.cast("string"), F.lit(" was filled with "), F.array_join(F.array_append(F.transform("inside", lambda j: F.get("options", j)), F.lit("a folded cloth")), ", "), F.lit("."))
+        return record(rows, id=id_, source="toy:tags", type="multi", state=state, question=F.lit("What of this did the basket get?"), options=F.col("options"), answer=F.col("inside"))
     raise KeyError(name)
 
 
