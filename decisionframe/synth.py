@@ -50,6 +50,12 @@ class Teacher(Protocol):
         """A probability for each label."""
 
 
+#: Words of the fake teacher's options, what its states say, and the labels of a grade.
+OWN = ("alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta", "theta", "iota", "kappa")
+SAID = re.compile(r" that concerns (.*?) in detail")
+GRADES = ["1", "2", "3", "4", "5"]
+
+
 class FakeTeacher:
     """Deterministic and offline. It writes plausible objects and agrees with itself most of the time; some objects are broken."""
 
@@ -60,7 +66,7 @@ class FakeTeacher:
         rng = random.Random(job["seed"])
         if rng.random() < self.faults:
             return rng.choice(["not json", '{"state": 3}', "{}"])
-        options = [f"{job['domain']} {w}" for w in ("alpha", "beta", "gamma", "delta", "epsilon", "zeta")][: job["n_options"]]
+        options = [f"{job['domain']} {w}" for w in OWN][: job["n_options"]]
         n, t = job["n_options"], job["target"]
         true = sorted(rng.sample(range(n), t)) if job["type"] == "multi" else t
         named = ", ".join(options[i] for i in true) if job["type"] == "multi" else str(t)
@@ -73,9 +79,19 @@ class FakeTeacher:
             obj |= {"options": options, "answer": true}
         return "```json\n" + json.dumps(obj)[:-1] + ",}\n```"
 
-    def judge(self, text: str, labels: list[str], hint: int | None = None) -> list[float]:
+    def judge(self, text: str, labels: list[str]) -> list[float]:
+        """Reads what the state it wrote says, as a judge that sees no answer must; now and then it errs."""
         h = int.from_bytes(hashlib.md5(text.encode()).digest()[:4], "big") / 2**32
-        favourite = hint if hint is not None and h > 0.1 else int(h * 1e6) % len(labels)
+        said, last = SAID.search(text), text.rsplit("\n", 1)[-1]
+        favourite = None
+        if labels == GRADES:
+            favourite = 3
+        elif labels == ["yes", "no"] and said and last.isdigit():
+            favourite = 0 if OWN[int(last)] in said[1] else 1
+        elif said and said[1] in labels:
+            favourite = labels.index(said[1])
+        if favourite is None or h <= 0.1:
+            favourite = int(h * 1e6) % len(labels)
         rest = 0.2 / max(1, len(labels) - 1)
         return [0.8 if i == favourite else rest for i in range(len(labels))]
 
@@ -182,9 +198,8 @@ def judged(rows: DataFrame, teacher: Teacher, orders: int = 2) -> DataFrame:
             ps, grades = [], []
             for r in batch.select(["id", "type", "options", "answer", "_view"]).to_pylist():
                 n, view = len(r["options"]), r["_view"]
-                hint = lambda k: {"hint": k} if isinstance(teacher, FakeTeacher) else {}
                 if r["type"] == "multi":
-                    each = [teacher.judge(f"{view}\n{i}", ["yes", "no"], **hint(0 if i in r["answer"] else 1)) for i in range(n)]
+                    each = [teacher.judge(f"{view}\n{i}", ["yes", "no"]) for i in range(n)]
                     p = None if any(x is None for x in each) else [x[0] for x in each]
                 else:
                     total, used = [0.0] * n, 0
@@ -196,13 +211,13 @@ def judged(rows: DataFrame, teacher: Teacher, orders: int = 2) -> DataFrame:
                             rng.shuffle(order)
                             order = order[::-1] if order == last else order
                         last = order
-                        x = teacher.judge(f"{view}\n{k}", [str(i) for i in order], **hint(order.index(r["answer"][0])))
+                        x = teacher.judge(f"{view}\n{k}", [str(i) for i in order])
                         if x is not None:
                             used += 1
                             for place, i in enumerate(order):
                                 total[i] += x[place]
                     p = [x / used for x in total] if used else None
-                grade = teacher.judge(view, ["1", "2", "3", "4", "5"], **hint(3))
+                grade = teacher.judge(view, GRADES)
                 ps.append(p)
                 grades.append(None if grade is None else sum((i + 1) * x for i, x in enumerate(grade)))
             yield batch.drop_columns(["_view"]).append_column("p", pa.array(ps, pa.list_(pa.float64()))).append_column("quality", pa.array(grades, pa.float64()))
