@@ -14,7 +14,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.arrays import sigmoid, softmax
@@ -32,8 +32,10 @@ def option_rows(records: DataFrame, *keep: str) -> DataFrame:
     rows = rows.withColumn("own", words(F.col("_option"), 8))
     first = F.coalesce(F.get("own", F.lit(0)), F.lit(""))
     rows = rows.withColumn("_first", first)
+    # whether the state or the question has all words of the option
+    named = F.size(F.array_except("own", "_text")) == 0
     crossed = F.transform("_text", lambda w: F.concat(w, F.lit("|"), F.col("_first")))
-    return rows.select("id", "type", "place", *keep, F.array_contains("answer", F.col("place")).cast("double").alias("label"), crossed.alias("crossed"), F.array_append("own", F.concat(F.lit("n:"), F.col("place").cast("string"))).alias("own"))
+    return rows.select("id", "type", "place", *keep, F.array_contains("answer", F.col("place")).cast("double").alias("label"), crossed.alias("crossed"), F.concat("own", F.array(F.concat(F.lit("n:"), F.col("place").cast("string")), F.concat(F.lit("named:"), named.cast("string")))).alias("own"))
 
 
 @dataclass
@@ -58,7 +60,15 @@ class Model:
         return rows.select("id", "type", "source", "z", F.when(multi, sigmoid(F.col("z"), F.col("_t"))).otherwise(softmax(F.col("z"), F.col("_t"))).alias("p"), F.when(~multi, F.get("answer", F.lit(0))).alias("a"), F.when(multi, y).alias("y"))
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(path)
+        """The pipeline and the temperatures, below path."""
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame(list(self.temperatures.items()), "type string, temperature double").write.mode("overwrite").parquet(f"{path}/temperatures")
+
+    @classmethod
+    def load(cls, path: str) -> Model:
+        rows = SparkSession.getActiveSession().read.parquet(f"{path}/temperatures").collect()
+        return cls(PipelineModel.load(f"{path}/pipeline"), {r["type"]: r["temperature"] for r in rows})
 
 
 def fit(records: DataFrame, buckets: int = BUCKETS, iterations: int = 30, ridge: float = 1e-3) -> Model:

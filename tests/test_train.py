@@ -19,3 +19,6 @@ def test_train_calibrate_evaluate(spark, tmp_path):
     report = train.evaluate(model, test.withColumn("split", F.lit("test"))).where("scope = 'all' and n > 0").collect()
     assert {(r["split"], r["version"]) for r in report} >= {("test", "raw"), ("test", "calibrated")}
     model.save(str(tmp_path / "model"))
+    again = train.Model.load(str(tmp_path / "model"))
+    assert again.temperatures == model.temperatures
+    assert again.logits(test).orderBy("id").collect() == model.logits(test).orderBy("id").collect()
