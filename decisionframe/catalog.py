@@ -436,8 +436,10 @@ def both(spark, d):
 
 @query(
     "summarize_by_source",
-    f"""WITH {PRED}{MULTI}, src AS (SELECT source, count(*) AS n, avg(correct) AS acc, avg(nll) AS nll, avg(brier) AS brier, avg(conf) AS mean_conf FROM s1 WHERE vec_id % 4 < 3 GROUP BY source
-UNION ALL SELECT 'src3', (SELECT count(*) FROM mr WHERE source = 'src3'), (SELECT avg(exact) FROM mr WHERE source = 'src3'), (SELECT avg(nll) FROM mr WHERE source = 'src3'), avg(pow(p - y, 2)), avg(greatest(p, 1 - p)) FROM mo WHERE source = 'src3')
+    f"""WITH {PRED}{MULTI}, whole AS (SELECT source, count(*) AS n, avg(exact) AS acc, avg(nll) AS nll FROM mr GROUP BY source),
+options AS (SELECT source, avg(pow(p - y, 2)) AS brier, avg(greatest(p, 1 - p)) AS mean_conf FROM mo GROUP BY source),
+src AS (SELECT source, count(*) AS n, avg(correct) AS acc, avg(nll) AS nll, avg(brier) AS brier, avg(conf) AS mean_conf FROM s1 GROUP BY source
+UNION ALL SELECT 'multi-' || whole.source, n, acc, nll, brier, mean_conf FROM whole JOIN options ON whole.source = options.source)
 SELECT source, n, round(acc, 6) AS acc, round(nll, 6) AS nll, round(brier, 6) AS brier, round(mean_conf, 6) AS mean_conf FROM src""",
 )
 def summarize_by_source(spark, d):
