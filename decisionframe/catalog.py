@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .functions import arrays as A
 from .functions import text as X
 from .functions.hashing import keyed, u01
-from .operators import augment, calibrate, corpus, coverage, dedup, filters, graph, metrics, sampling
+from .operators import augment, calibrate, corpus, coverage, dedup, filters, graph, metrics, reports, sampling
 from .plans import build as plan
 from .schema import invalid_reason
 from .sources import mappers as M
@@ -794,3 +794,118 @@ def stream_jid_dedup_counts(spark, d):
     rows.write.json(f"{base}/in")
     ingest(spark, f"{base}/in", "jid string, type string, status string", f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.parquet(f"{base}/out").groupBy("type").agg(F.count("*").alias("n"))
+
+
+# --- reports ----------------------------------------------------------------------------------------------------------
+
+
+@query("report_audit", "SELECT source, count(*) AS n, round(avg(CAST(quality AS DOUBLE)), 6) AS agree FROM labels l JOIN documents d ON d.doc_id = l.doc_id WHERE lang = 'en' GROUP BY source")
+def report_audit(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source", "lang")
+    done = table(spark, d, "labels").join(docs, "doc_id").select(F.col("doc_id").alias("id"), "source", F.col("quality").alias("agree"))
+    return reports.audit_of(done, docs.where("lang = 'en'").select(F.col("doc_id").alias("id"))).select("source", "n", r6("agree"))
+
+
+@query("report_categories", "SELECT r_name AS category, count(*) AS sources, sum(n)::BIGINT AS n FROM (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY ALL) JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY r_name")
+def report_categories(spark, d):
+    stats = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count("*").alias("n"))
+    categories = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("nation"), F.col("r_name").alias("category"))
+    return reports.with_category(stats, categories, "nation").groupBy("category").agg(F.count("*").alias("sources"), F.sum("n").alias("n"))
+
+
+@query(
+    "report_family_acceptance",
+    """WITH f AS (SELECT lang AS type, source AS family, avg(coalesce(CAST(quality AS DOUBLE), 0)) AS share FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY ALL)
+SELECT type, round(min(share), 6) AS least, round(median(share), 6) AS median, round(max(share), 6) AS greatest, list(family ORDER BY share, family)[1] AS lowest, list(family ORDER BY share DESC, family DESC)[1] AS highest FROM f GROUP BY type""",
+)
+def report_family_acceptance(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", F.col("lang").alias("type"), F.col("source").alias("family")).join(table(spark, d, "labels").select("doc_id", F.col("quality").alias("accepted")), "doc_id", "left")
+    return reports.family_acceptance(rows).select("type", r6("least"), r6("median"), r6("greatest"), "lowest", "highest")
+
+
+@query("report_funnel", "SELECT reason, n, row_number() OVER (ORDER BY n DESC, reason) AS place, round(n / sum(n) OVER (), 6) AS share FROM (SELECT coalesce(event_type, 'accepted') AS reason, count(*) AS n FROM events GROUP BY ALL)")
+def report_funnel(spark, d):
+    return reports.funnel(table(spark, d, "events").select(F.col("event_type").alias("reason"))).select("reason", "n", "place", r6("share"))
+
+
+@query("report_source_bars", f"WITH {PRED}, b AS (SELECT source, count(*) AS n, avg(correct) AS acc, avg(1 / len(p)) AS chance FROM s1 GROUP BY source) SELECT source, n, round(acc, 6) AS acc, round(chance, 6) AS chance, row_number() OVER (ORDER BY acc DESC, source) AS place FROM b")
+def report_source_bars(spark, d):
+    rows = single_predictions(spark, d).select("source", (A.argmax(F.col("p")) == F.col("a")).alias("correct"), F.size("p").alias("n_options"))
+    return reports.source_bars(rows).select("source", "n", r6("acc"), r6("chance"), "place")
+
+
+@query(
+    "report_early_stopping",
+    """WITH b AS (SELECT user_id, event_id, value, min(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM events),
+g AS (SELECT *, value IS NOT NULL AND (before IS NULL OR value < before) AS better, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM b),
+r AS (SELECT *, k - coalesce(max(CASE WHEN better THEN k END) OVER (PARTITION BY user_id ORDER BY event_id), 0) AS bad FROM g),
+s AS (SELECT *, min(CASE WHEN bad >= 8 THEN event_id END) OVER (PARTITION BY user_id) AS stopped FROM r)
+SELECT user_id AS run, any_value(stopped) AS stopped, round(min(value), 6) AS best, max(CASE WHEN better THEN event_id END) AS best_step FROM s WHERE stopped IS NULL OR event_id <= stopped GROUP BY user_id""",
+)
+def report_early_stopping(spark, d):
+    evals = table(spark, d, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("nll"))
+    return reports.early_stopping(evals).select("run", "stopped", r6("best"), "best_step")
+
+
+@query(
+    "report_benchmark_ratios",
+    """WITH r AS (SELECT event_type AS benchmark, avg(CASE WHEN value >= 50 THEN 1.0 ELSE 0 END) AS acc, avg(value) AS ms, max(value) AS teacher_ms FROM events GROUP BY event_type)
+SELECT benchmark, round(acc, 6) AS acc, round(teacher_ms / nullif(ms, 0), 6) AS speedup FROM r UNION ALL SELECT 'Mean', round(avg(acc), 6), NULL FROM r""",
+)
+def report_benchmark_ratios(spark, d):
+    rows = table(spark, d, "events").groupBy(F.col("event_type").alias("benchmark")).agg(F.avg(F.when(F.col("value") >= 50, 1.0).otherwise(0.0)).alias("acc"), F.avg("value").alias("ms"), F.max("value").alias("teacher_ms"))
+    return reports.benchmark_ratios(rows).select("benchmark", r6("acc"), r6("speedup"))
+
+
+@query(
+    "report_display_rows",
+    """SELECT CASE WHEN quality = 1 THEN 'doc:' || d.doc_id ELSE 'syn:' || d.doc_id END AS id, CASE WHEN quality = 1 THEN source ELSE 'synth' END AS source, 'choice' AS type, md5(CASE WHEN quality = 1 THEN coalesce(text, '') ELSE '' END) AS state_md5,
+CASE WHEN quality = 1 THEN 2 ELSE 0 END AS options, CASE WHEN quality = 1 THEN lang END AS family, CAST(NULL AS VARCHAR) AS why FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def report_display_rows(spark, d):
+    rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    made = F.struct(F.concat(F.lit("doc:"), F.col("doc_id")).alias("id"), "source", F.lit("").alias("type"), F.col("text").alias("state"), F.lit("Is it good?").alias("question"), M.words(M.YES_NO).alias("options"), F.array(F.lit(0)).alias("answer"), F.struct(F.col("lang").alias("family"), F.lit(1).alias("other")).alias("meta"))
+    outcomes = rows.select(F.col("doc_id").alias("jid"), F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reason"), F.lit("choice").alias("type"), F.lit(0.5).alias("p_answer"), "quality", F.when(F.col("quality") == 1, made).alias("record"))
+    return reports.display_rows(outcomes).select("id", "source", "type", F.md5("state").alias("state_md5"), F.size("options").alias("options"), F.col("meta")["family"].alias("family"), F.col("meta")["why"].alias("why"))
+
+
+@query("record_costs", "SELECT doc_id, coalesce(length(text), 0) + 11 + 5 AS cost FROM documents")
+def record_costs(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", F.col("text").alias("state"), F.lit("Is it good?").alias("question"), M.words(M.YES_NO).alias("options"))
+    return rows.select("doc_id", reports.cost().alias("cost"))
+
+
+@query("render_states", """SELECT n_nationkey, 'name: ' || n_name || chr(10) || 'key: ' || n_nationkey || chr(10) || 'first: ' || CASE WHEN n_nationkey = 0 THEN 'True' ELSE 'False' END || chr(10) || 'none: None' || chr(10) || 'tags: ["' || n_name || '", "x y"]' || chr(10) || 'in: {"region": ' || n_regionkey || ', "say": "\\"hi\\""}' || chr(10) || 'end' AS shown FROM nation""")
+def render_states(spark, d):
+    from .serve import render
+
+    inner = F.struct(F.col("n_regionkey").alias("region"), F.lit('"hi"').alias("say"))
+    shown = F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").alias("key"), (F.col("n_nationkey") == 0).alias("first"), F.lit(None).cast("string").alias("none"), F.array("n_name", F.lit("x y")).alias("tags"), inner.alias("in"))
+    rows = table(spark, d, "nation").select("n_nationkey", shown.alias("state"))
+    # a list is its elements, each rendered in turn
+    return rows.select("n_nationkey", F.array_join(F.array(render(F.col("state"), rows.schema["state"].dataType), F.lit("end")), "\n").alias("shown"))
+
+
+# --- mappers of single sets -------------------------------------------------------------------------------------------
+
+
+@query("map_faithful", f"SELECT 'faith:' || doc_id AS id, CAST({h60("'coin:faith:' || doc_id")} % 2 AS VARCHAR) AS answer FROM documents WHERE lang IN ('de', 'en', 'es')")
+def map_faithful(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", *(F.concat(F.lit(c + " "), "doc_id").alias(c) for before, _, good, bad, _ in M.FAITHFUL.values() for c in (good, bad)), *(F.col("source").alias(c) for c in ("knowledge", "question", "dialogue_history", "document")))
+    made = [M.faithful(docs.where(F.col("lang") == lang), "faith", "doc_id", config) for lang, config in (("de", "qa"), ("en", "dialogue"), ("es", "summarization"), ("fr", "other"))]
+    rows = made[0]
+    for more in made[1:]:
+        rows = rows.unionByName(more)
+    return rows.select("id", F.array_join("answer", ",").alias("answer"))
+
+
+@query("map_graded_yes_no", "SELECT 'legal:' || o_orderkey AS id, CASE lower(trim(o_orderstatus)) WHEN 'f' THEN '0' ELSE '1' END AS answer FROM orders WHERE lower(trim(o_orderstatus)) IN ('f', 'o')")
+def map_graded_yes_no(spark, d):
+    orders = table(spark, d, "orders")
+    return M.graded_yes_no(orders, "legal", "o_orderkey", F.concat(F.lit("Order of "), "o_orderpriority"), F.lit("Is the order closed?"), "o_orderstatus", ("f", "yes"), ("o", "no")).select("id", F.array_join("answer", ",").alias("answer"))
+
+
+@query("map_graded_choice", "SELECT 'legal:' || o_orderkey AS id, 'F|O' AS options, CASE o_orderstatus WHEN 'F' THEN '0' ELSE '1' END AS answer FROM orders WHERE o_orderstatus IN ('F', 'O')")
+def map_graded_choice(spark, d):
+    orders = table(spark, d, "orders")
+    return M.graded_choice(orders, "legal", "o_orderkey", F.concat(F.lit("Order of "), "o_orderpriority"), F.lit("Which state is the order in?"), "o_orderstatus", ("F", "O")).select("id", F.array_join("options", "|").alias("options"), F.array_join("answer", ",").alias("answer"))

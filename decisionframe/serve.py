@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .functions.arrays import argmax, chosen, concentration, expected, sureness
 from .functions.text import infer_type
@@ -15,8 +16,54 @@ MOST_OPTIONS, MOST_LEVELS = 255, 10
 REQUEST = "request_id string, state map<string,string>, questions map<string,struct<type:string,instructions:string,criteria:map<string,string>,threshold:double>>"
 
 
+def _quoted(c: Column) -> Column:
+    """A JSON string: to_json of a list of one, without the brackets."""
+    listed = F.to_json(F.array(c))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
+def _json(c: Column, kind: T.DataType) -> Column:
+    """JSON with a blank after commas and colons."""
+    if isinstance(kind, T.StringType):
+        text = _quoted(c)
+    elif isinstance(kind, T.ArrayType):
+        text = F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: _json(x, kind.elementType)), ", "), F.lit("]"))
+    elif isinstance(kind, T.MapType):
+        text = F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(_quoted(e["key"].cast("string")), F.lit(": "), _json(e["value"], kind.valueType))), ", "), F.lit("}"))
+    elif isinstance(kind, T.StructType):
+        text = F.concat(F.lit("{"), F.concat_ws(", ", *(F.concat(_quoted(F.lit(f.name)), F.lit(": "), _json(c[f.name], f.dataType)) for f in kind)), F.lit("}"))
+    else:
+        text = c.cast("string")
+    return F.coalesce(text, F.lit("null"))
+
+
+def _value(c: Column, kind: T.DataType) -> Column:
+    """A value after 'key: '. Lists and objects are JSON; of scalars, true, false and null are written as Python does."""
+    if isinstance(kind, T.ArrayType | T.MapType | T.StructType):
+        return F.when(c.isNull(), "None").otherwise(_json(c, kind))
+    if isinstance(kind, T.BooleanType):
+        return F.when(c.isNull(), "None").when(c, "True").otherwise("False")
+    return F.coalesce(c.cast("string"), F.lit("None"))
+
+
+def render(state: Column, kind: T.DataType) -> Column:
+    """A state of this type as text: strings as they are, lists a line for each element (rendered in turn), objects a
+    'key: value' line for each field. Null is empty."""
+    if isinstance(kind, T.ArrayType):
+        text = F.array_join(F.transform(state, lambda x: render(x, kind.elementType)), "\n")
+    elif isinstance(kind, T.StructType):
+        text = F.when(state.isNotNull(), F.concat_ws("\n", *(F.concat(F.lit(f"{f.name}: "), _value(state[f.name], f.dataType)) for f in kind)))
+    elif isinstance(kind, T.MapType):
+        text = F.array_join(F.transform(F.map_entries(state), lambda e: F.concat(e["key"].cast("string"), F.lit(": "), _value(e["value"], kind.valueType))), "\n")
+    elif isinstance(kind, T.BooleanType):
+        text = F.when(state, "True").when(~state, "False")
+    else:
+        text = state.cast("string")
+    return F.coalesce(text, F.lit(""))
+
+
 def render_state(state: Column) -> Column:
-    """A map as 'key: value' lines."""
+    """A map of strings as 'key: value' lines; a null value is empty, as a request's fields are texts."""
     return F.array_join(F.transform(F.map_entries(state), lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("")))), "\n")
 
 
