@@ -62,6 +62,7 @@ URL_SAFE = bytes.maketrans(b"-_", b"+/")
 PLACE = np.full(256, -1, np.int64)
 PLACE[list(BASE64)] = np.arange(64)
 PLACE[list(b"-_")] = [0, 1]
+SMALL = PLACE.astype(np.int8)
 BATTERY = "start: long, end: long, band: int, size: int, n: long, pairs: long, changes: long, serial: double, random: double"
 
 
@@ -151,20 +152,17 @@ class Ordinary:
         return min(1.0, 3 * min(recur, binomial_tail(n - 1, x["changes"], min(self.change, 0.5)), correlated))
 
 
-def _counts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, int, int, int]:
-    """Letters, pairs, changes and products over the runs of a slice that are too short for candidates."""
-    edge = np.zeros(len(data) + 1, np.int8)
-    edge[starts] += 1
-    np.subtract.at(edge, ends, 1)
-    inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
-    place = np.where(inside, PLACE[data], -1)
-    both = (place[1:] >= 0) & (place[:-1] >= 0)
-    if len(starts):
-        # two runs that touch belong to two rows
-        touch = starts[1:][starts[1:] == ends[:-1]]
-        both[touch - 1] = False
+def _counts(data: np.ndarray, off: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, int, int, int]:
+    """Letters, pairs, changes and products over a slice's rows, but for the candidates' runs from starts to ends."""
+    place = SMALL[data]
+    for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+        place[s:e] = -1
+    there = place >= 0
+    both = there[1:] & there[:-1]
+    inner = off[(off > 0) & (off < len(data))]
+    both[inner - 1] = False
     a, b = place[:-1][both], place[1:][both]
-    return np.bincount(place[place >= 0], minlength=64), len(a), int(((a >= 32) != (b >= 32)).sum()), int((a * b).sum())
+    return np.bincount(place[there], minlength=64), len(a), int(np.count_nonzero((a >= 32) != (b >= 32))), int((a.astype(np.int16) * b).sum(dtype=np.int64))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,14 +170,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         data, off = text_buffer(batch.column(1))
         raw = data.tobytes()
-        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)])
         runs = {}
         for name, table, least in (("hex", NOT_HEX, LEAST_HEX), ("random", NOT_TOKEN, LEAST_TOKEN)):
             starts, ends, _ = word_bounds(data, off, table)
             long = ends - starts >= least
-            if name == "random":
-                letters, pairs, changed, product = _counts(data, starts[~long], ends[~long])
             starts, ends = starts[long], ends[long]
+            if name == "random":
+                letters, pairs, changed, product = _counts(data, off, starts, ends)
             runs[name] = (starts, ends, np.searchsorted(starts, off))
         base_all, found_all = [], []
         for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):

@@ -34,10 +34,12 @@ def test_overlaps():
 
 
 def test_counts_match_brute_force():
-    rows = [b"ab cd", b"Ef", "é gh-i".encode(), b"", b"xy"]
+    rows = [b"", b"ab cd", b"Ef", "é gh-i".encode(), b"", b"0123456789abcdefghijk", b"xy", b""]
     data, off = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
     starts, ends, _ = S.word_bounds(data, off, S.NOT_TOKEN)
-    letters, pairs, changes, product = S._counts(data, starts, ends)
+    long = ends - starts >= S.LEAST_TOKEN
+    letters, pairs, changes, product = S._counts(data, off, starts[long], ends[long])
+    assert [int(x) if np.isscalar(x) else x.tolist() for x in S._counts(data[:0], np.zeros(2, np.int64), starts[:0], ends[:0])][1:] == [0, 0, 0]
     runs = [b"ab", b"cd", b"Ef", b"gh-i", b"xy"]
     places = [[S.BASE64.index(c) for c in r.translate(S.URL_SAFE)] for r in runs]
     neighbours = [(a, b) for p in places for a, b in zip(p[:-1], p[1:], strict=True)]
