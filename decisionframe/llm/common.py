@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,6 +12,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,23 +54,51 @@ def key_of(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
 
 
-#: Nodes of a plan whose partitions and rows are the same in every scan.
+#: Nodes of a plan whose rows can be told by their files and places there.
 STEADY = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
 
 
 def steady(docs: DataFrame) -> DataFrame:
-    """docs as rows of files, whose order is the same whenever they are read; what is not a plain read of files is staged."""
+    """docs as rows of Parquet files, which have a place there for good; what is no plain read of such files is staged."""
 
     def plain(plan) -> bool:
         below = plan.children()
         return plan.getClass().getSimpleName() in STEADY and plan.deterministic() and all(plain(below.apply(i)) for i in range(below.size()))
 
-    return docs if plain(docs._jdf.queryExecution().analyzed()) else staged(docs, "rows")
+    if plain(docs._jdf.queryExecution().analyzed()):
+        try:
+            docs.select(docs.metadataColumn("_metadata")["row_index"])
+            return docs
+        except AnalysisException:
+            pass  # files that don't number their rows
+    return staged(docs, "rows")
 
 
-def row_number() -> Column:
-    """Tells the rows of a steady frame apart, whatever their ids; rises with their order."""
-    return F.monotonically_increasing_id()
+def _short(path: str) -> str:
+    return re.sub("^([^:]*:)/+", r"\1/", path)
+
+
+def file_slots(paths: list[str]) -> tuple[int, int]:
+    """(seed, bits): by the top bits of the hash of path and seed all these files differ."""
+    bits = max(16, 2 * len(paths).bit_length())
+    for seed in range(10_000):
+        if len({xxhash.xxh64_intdigest(f"{_short(p)}#{seed}", 42) >> (64 - bits) for p in paths}) == len(paths):
+            return seed, bits
+    raise ValueError(f"no seed tells {len(paths)} files apart")
+
+
+def row_number(docs: DataFrame) -> Column:
+    """Tells the rows of a steady frame apart, whatever their ids: the slot of the row's file and its place there.
+
+    It depends on nothing but the files, so it is the same in every scan, however Spark cuts the files and whatever executors
+    come and go. It rises along a file. A file with more rows than the bits left can count (2**47 with few files, 2**21 with two
+    million) is an error, not a mix-up."""
+    seed, bits = file_slots(docs.inputFiles())
+    place, path = docs.metadataColumn("_metadata")["row_index"], docs.metadataColumn("_metadata")["file_path"]
+    slot = F.shiftrightunsigned(F.xxhash64(F.concat(F.regexp_replace(path, "^([^:]*:)/+", "$1/"), F.lit(f"#{seed}"))), 64 - bits)
+    room = 63 - bits
+    place = F.when(place < F.lit(1 << room), place).otherwise(F.raise_error(F.lit("a file has too many rows to number")).cast("long"))
+    return F.shiftleft(slot, room).bitwiseOR(place)
 
 
 def _in_bitmap(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -95,9 +126,9 @@ def without_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def rows_without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs, a steady frame, without the rows whose row_number() is in gone (one column, distinct). The rows travel as one
+    """docs, a steady frame, without the rows whose row_number is in gone (one column, distinct). The rows travel as one
     struct, so no column of docs can clash; texts are shuffled only where the bitmap can't tell."""
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), row_number().alias("_key"))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), row_number(docs).alias("_key"))
     return without_ids(packed, staged(gone.toDF("_key"), "gone"), "_key").select("_row.*")
 
 

@@ -134,7 +134,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, most_words
     """One row per row of docs: doc_id, n_words, hits (places of hit words), items (item_ids with occurring windows)."""
     docs = steady(docs)
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_number().alias("row"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_number(docs).alias("row"))
     schema = "doc_id long, row long, n_words long, hits array<long>, items array<string>"
     scans = []
     for held in benchmark_slices(items, most_words):

@@ -7,8 +7,8 @@ never makes two texts equal.
 
 Defined cases: a null text is empty, and all texts without other characters than white space are
 equal. A null doc_id sorts before all others. Rows that repeat a doc_id are told apart by their place in the
-files and each count in group_size; of such rows with equal texts all are `kept` in exact_groups if the id
-is the one that stays, and the first of them stays in exact_dedup. A very long text is a slice of its own.
+files and each count in group_size; of such rows with equal texts one is `kept`, the first where they share a file,
+and the same row stays in exact_dedup. A very long text is a slice of its own.
 Extra columns are ignored, or kept by exact_dedup. An empty table gives an empty result.
 """
 
@@ -135,10 +135,10 @@ def exact_groups(docs: DataFrame, owners: int | None = None) -> DataFrame:
 
 
 def _groups(docs: DataFrame, owners: int | None) -> DataFrame:
-    """exact_groups of a steady frame, with the row_number() of each row and of the one that stays."""
+    """exact_groups of a steady frame, with the row_number of each row and of the one that stays."""
     spark = docs.sparkSession
     owners = owners or max(parts_of(spark), -(-docs.count() // OWNED))
-    rows = docs.select(key_of().alias("key"), "text", row_number().alias("row"))
+    rows = docs.select(key_of().alias("key"), "text", row_number(docs).alias("row"))
     prints = staged(rows.mapInArrow(_fingerprints, "key long, row long, sha string, fp long, block long"), "fingerprints")
     small = prints.select("block", "row", "fp")
     sent = small.select("block", "fp").groupBy("block").applyInArrow(_send(owners), "owner int, block long, blob binary")
@@ -160,7 +160,7 @@ def _groups(docs: DataFrame, owners: int | None) -> DataFrame:
         F.when(F.col("key") != F.lit(NULL_ID), F.col("key")).alias("doc_id"),
         F.when(keep != F.lit(NULL_ID), keep).alias("keep_id"),
         F.coalesce("size", F.lit(1).cast("long")).alias("group_size"),
-        (keep == F.col("key")).alias("kept"),
+        (F.coalesce("keep_row", "row") == F.col("row")).alias("kept"),
         F.col("sha").alias("text_sha256"),
         "row",
         F.coalesce("keep_row", "row").alias("keep_row"),

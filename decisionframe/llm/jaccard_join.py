@@ -293,13 +293,13 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, size: int = SHING
 
 
 def _components(docs: DataFrame, percent: int, size: int, owners: int | None = None) -> DataFrame:
-    """linked_components of a steady frame, with the row_number() of each row and of the one that stands for its component.
+    """linked_components of a steady frame, with the row_number of each row and of the one that stands for its component.
     Inside, a row is known by its number, `key`."""
     spark = docs.sparkSession
     n = parts_of(spark)
     owners = owners or 4 * n
-    rows = docs.select(row_number().alias("key"), "text")
-    info = staged(docs.select(row_number().alias("key"), "text", key_of().alias("id")).mapInArrow(_info(size), INFO), "sets")
+    rows = docs.select(row_number(docs).alias("key"), "text")
+    info = staged(docs.select(row_number(docs).alias("key"), "text", key_of().alias("id")).mapInArrow(_info(size), INFO), "sets")
     # equal sets are one class; its smallest document stands for it
     classes = info.where("n > 0").groupBy("n", "one", "two").agg(F.min("key").alias("rep"), F.count("*").alias("copies"))
     copies = staged(classes.where("copies > 1").drop("copies"), "classes")

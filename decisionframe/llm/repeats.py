@@ -297,11 +297,11 @@ def _window_pass(spec: Spec):
 
 
 def repeated(docs: DataFrame, spec: Spec, index: Callable[[], Groups], owners: int | None = None) -> DataFrame:
-    """Of a steady frame: row (its row_number()), spans: array of packed (start << 32 | symbols) to remove. Only rows that have any."""
+    """Of a steady frame: row (its row_number), spans: array of packed (start << 32 | symbols) to remove. Only rows that have any."""
     spark = docs.sparkSession
     n = parts_of(spark)
     owners = owners or 4 * n
-    rows = docs.select(row_number().alias("row"), "text", key_of().alias("doc"))
+    rows = docs.select(row_number(docs).alias("row"), "text", key_of().alias("doc"))
     sent = rows.mapInArrow(_first_pass(spec, owners), MARK)
     first = staged(sent.repartitionById(n, F.expr(f"pmod(part, {n})")).mapInArrow(_owner_pass(spec, owners, index), MARK).drop("blob"), "chunks")
     wanted = first.where("kind = 1").groupBy("row").agg(F.collect_set(F.struct("at", "n", "part")).alias("wanted"))
@@ -314,7 +314,7 @@ def repeated(docs: DataFrame, spec: Spec, index: Callable[[], Groups], owners: i
 
 def with_spans(docs: DataFrame, removed: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """keep over (doc, text, spans) of the rows that have spans, and over (doc, text) of all others; every row goes one way only."""
-    rows = docs.select(row_number().alias("row"), "text", key_of().alias("doc"))
+    rows = docs.select(row_number(docs).alias("row"), "text", key_of().alias("doc"))
     known = _in_bitmap(rows, removed, "row")
     joined = known.where("_hit").join(removed, "row", "left").select("doc", "text", "spans").mapInArrow(keep, schema)
     return joined.unionByName(known.where("not _hit").select("doc", "text").mapInArrow(keep, schema))

@@ -225,21 +225,37 @@ def test_jaccard_join_links_beyond_the_smallest(spark):
     assert got == brute_components(rows)
 
 
+def _kept_parts(h, bands, heat) -> set[int]:
+    """The part keys that a document with these shingles is left with: parts without bits go first, then the hottest."""
+    band, out = bands.of(len(h)), set()
+    for label in {band, max(0, band - 1)}:
+        keys, room = jaccard_join.part_keys(h, label, bands.shape(label))
+        parts, spare = bands.shape(label)
+        assert 0 <= room <= spare and len(keys) + spare - room == parts
+        out |= set(sorted((int(k) for k in keys), key=lambda k: (-heat(k), k))[room:])
+    return out
+
+
 def test_part_keys_of_linked_sets_meet():
-    rng, bands = np.random.default_rng(2), jaccard_join.Bands(85)
-    for size in (3, 7, 20, 90, 400, 2000):
-        for _ in range(30):
+    rng, bands, met = np.random.default_rng(2), jaccard_join.Bands(85), 0
+    edges = [e for e in bands.edges if 3 < e < 3000]
+    sizes = [3, 7, 20, 90, 400, 2000, *(e + d for e in edges[::2] for d in (-1, 0, 1))]
+    heats = (lambda k: 1, lambda k: k >> 40 & 3, lambda k: k >> 20 & 0xFFFF)  # all ties, many ties, few
+    for size in sizes:
+        for t in range(12):
             h = np.unique(rng.integers(0, 2**63, size).astype(np.uint64) * np.uint64(2))
-            k = int(len(h) * 0.0811 * rng.random())
-            other = np.unique(np.concatenate([h[k:], rng.integers(0, 2**63, k).astype(np.uint64)]))
+            most = int(len(h) * 15 / 185)
+            k = most if t % 3 == 0 else int(rng.integers(0, most + 1))
+            grown = int(len(h) * 15 / 85) if t % 4 == 1 else 0  # a superset reaches into the next band
+            fresh = rng.integers(0, 2**63, grown or k).astype(np.uint64)
+            other = np.unique(np.concatenate([h if grown else h[k:], fresh]))
             shared = len(np.intersect1d(h, other))
             if 100 * shared < 85 * (len(h) + len(other) - shared):
                 continue
-            keys = []
-            for x in (h, other):
-                band = bands.of(len(x))
-                keys.append(np.concatenate([jaccard_join.part_keys(x, b, bands.shape(b)) for b in {band, max(0, band - 1)}]))
-            assert len(np.intersect1d(*keys))
+            met += 1
+            for heat in heats:
+                assert _kept_parts(h, bands, heat) & _kept_parts(other, bands, heat), (size, t)
+    assert met > 300
 
 
 def test_url_filter(spark):

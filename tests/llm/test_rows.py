@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from decisionframe.llm import decontaminate, exact_dedup, jaccard_join, langid, packing, substring_dedup, suffix_dedup
+from decisionframe.llm import common, components, decontaminate, exact_dedup, jaccard_join, langid, packing, repeats, substring_dedup, suffix_dedup
 from decisionframe.llm.queries import tokenizer_path
 
 rng = random.Random(11)
@@ -50,6 +50,51 @@ def test_links_by_row(docs, spark):
     assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(5, OTHER), (3, THIRD), (9, THIRD + " tail")])
 
 
+def test_one_of_repeated_rows_is_kept(spark):
+    rows = [(5, "a b"), (5, "a b"), (7, "a b"), (7, "ab"), (8, "c")]
+    got = exact_dedup.exact_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in got) == [(5, 5, 4), (5, 5, 4), (7, 5, 4), (7, 5, 4), (8, 8, 1)]
+    assert sorted(r["doc_id"] for r in got if r["kept"]) == [5, 8]
+
+
+def test_rows_keep_their_numbers_when_scans_are_cut_anew(spark, tmp_path, monkeypatch):
+    """As on a cluster that grows and shrinks: every stage cuts the files in another way."""
+    texts = [prose(60) for _ in range(12)]
+    rows = [(i, texts[i % 12] + (" " + prose(25) if i % 3 else "")) for i in range(96)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    tasks = {
+        "op1": lambda: substring_dedup.substring_dedup(docs), "op5": lambda: suffix_dedup.suffix_dedup(docs), "op9": lambda: exact_dedup.exact_groups(docs), "op10": lambda: jaccard_join.linked_components(docs),
+        "op4": lambda: decontaminate.contamination(docs, spark.createDataFrame([("a", texts[0]), ("b", texts[1])], "item_id string, text string"), most_words=40),
+    }
+    still = {name: Counter(map(str, f().collect())) for name, f in tasks.items()}
+    turn, plain = iter(range(10**6)), common.staged
+
+    def staged(df, name):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 2 + next(turn) % 5)
+        return plain(df, name)
+
+    for module in (common, repeats, exact_dedup, jaccard_join, decontaminate, components):
+        monkeypatch.setattr(module, "staged", staged)
+    small = {"spark.sql.files.minPartitionNum": None, "spark.sql.files.openCostInBytes": "16", "spark.sql.files.maxPartitionBytes": "4096"}
+    for k, v in small.items():
+        if v:
+            spark.conf.set(k, v)
+    try:
+        for name, f in tasks.items():
+            assert Counter(map(str, f().collect())) == still[name], name
+    finally:
+        for k in (*small, "spark.sql.leafNodeDefaultParallelism"):
+            spark.conf.unset(k)
+
+
+def test_file_slots_differ():
+    paths = [f"file:///a/part-{i:05}.parquet" for i in range(3000)]
+    seed, bits = common.file_slots(paths)
+    assert bits == 24 and common.file_slots([p.replace("///", "/") for p in paths]) == (seed, bits)
+
+
 def test_slices_of_the_benchmark_change_nothing(docs, spark):
     items = spark.createDataFrame([("a", " ".join(SHARED.split()[5:20])), ("b", " ".join(OTHER.split()[:12])), ("c", "nothing here")], "item_id string, text string")
     whole, cut = (Counter((r["doc_id"], r["n_words"], tuple(r["hits"]), tuple(sorted(r["items"]))) for r in decontaminate.contamination(docs, items, most_words=k).collect()) for k in (10_000, 13))
