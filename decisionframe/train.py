@@ -74,7 +74,14 @@ class Model:
 def fit(records: DataFrame, buckets: int = BUCKETS, iterations: int = 30, ridge: float = 1e-3) -> Model:
     """Learn from single and multi records; temperatures stay 1 until calibrated."""
     stages = [HashingTF(numFeatures=buckets, inputCol="crossed", outputCol="_a", binary=True), HashingTF(numFeatures=buckets // 4, inputCol="own", outputCol="_b", binary=True), VectorAssembler(inputCols=["_a", "_b"], outputCol="features"), LogisticRegression(maxIter=iterations, regParam=ridge)]
-    return Model(Pipeline(stages=stages).fit(option_rows(records)), {})
+    fitted = Pipeline(stages=stages).fit(option_rows(records))
+    fitted.stages[-1]._java_obj.setSummary(_none(records.sparkSession))
+    return Model(fitted, {})
+
+
+def _none(spark: SparkSession):
+    """No training summary: it holds the session, which the model's functions would otherwise carry to the executors."""
+    return getattr(spark._jvm.scala, "Option").empty()
 
 
 def calibrated(model: Model, held_back: DataFrame) -> Model:
