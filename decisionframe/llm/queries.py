@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, langid, packing, quality, secret_scan, substring_dedup, suffix_dedup, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, langid, packing, panes, quality, secret_scan, substring_dedup, suffix_dedup, url_filter
 from .common import documents
 
 
@@ -56,6 +56,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_components(documents(spark, sf_dir))
 
 
+def op12_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panes.panes(documents(spark, sf_dir, "clicks"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_window_panes": op12_window_panes,
 }
 
 def _terms(terms: tuple[str, ...]) -> list[str]:
