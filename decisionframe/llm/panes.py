@@ -46,7 +46,12 @@ BATCHES, GRACE, CLOSE = 10, 12, 48
 CLICK, TICK, SENTINEL = 0, 1, 2
 OUT = "hour long, click_id long, n_rows long, cents long, record string, kind string"
 FED = "pane string, slot long, salt int, role int, kind string, hour long, click_id long, n_rows long, cents long"
-CONF = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+#: Settings of the query. State stores of a start that has ended go soon, and small ones take no more disk than they hold.
+STATE = "spark.sql.streaming.stateStore"
+CONF = {
+    f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    f"{STATE}.maintenanceInterval": "2s", f"{STATE}.rocksdb.changelogCheckpointing.enabled": "true", f"{STATE}.rocksdb.allowFAllocate": "false",
+}
 
 
 def micros(c: Column, zoned: bool) -> Column:
@@ -201,7 +206,7 @@ def panes(clicks: DataFrame, batches: int = BATCHES, grace: int = GRACE, close:
     cuts, state, out = f"{base}/cut", f"{base}/state", f"{base}/out"
     largest = cut(clicks, cuts, batches)
     schema = spark.read.option("basePath", cuts).parquet(f"{cuts}/batch=0").schema
-    before = {k: spark.conf.get(k) for k in CONF}
+    before = {k: spark.conf.get(k, None) for k in CONF}
     for k, v in CONF.items():
         spark.conf.set(k, v)
     try:
@@ -210,7 +215,7 @@ def panes(clicks: DataFrame, batches: int = BATCHES, grace: int = GRACE, close:
             _run(spark, f"{cuts}/batch={{{','.join(map(str, range(k + 1)))}}}", cuts, schema, state, f"{out}/batch={k}", max(seen, default=None), grace, close)
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     rows = spark.read.schema(f"{OUT}, batch long").option("basePath", out).parquet(out)
     return rows.select("batch", "hour", "click_id", "n_rows", "cents", "record", "kind")
 
