@@ -51,6 +51,7 @@ STATE = "spark.sql.streaming.stateStore"
 CONF = {
     f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     f"{STATE}.maintenanceInterval": "2s", f"{STATE}.rocksdb.changelogCheckpointing.enabled": "true", f"{STATE}.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.checkpoint.fileChecksum.enabled": "false",
 }
 
 
