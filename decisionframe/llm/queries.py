@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, langid, packing, panes, quality, secret_scan, substring_dedup, suffix_dedup, url_filter
+from . import decontaminate, exact_dedup, hard_negatives, jaccard_join, langid, packing, panes, quality, secret_scan, simhash, substring_dedup, suffix_dedup, url_filter
 from .common import documents
 
 
@@ -56,10 +56,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_components(documents(spark, sf_dir))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(documents(spark, sf_dir))
+
+
 def op12_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panes.panes(documents(spark, sf_dir, "clicks"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.prepared(documents(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
@@ -71,7 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_simhash": op11_simhash,
     "op12_window_panes": op12_window_panes,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 def _terms(terms: tuple[str, ...]) -> list[str]:
@@ -120,6 +130,14 @@ r AS (SELECT doc_id, norm, first_value(doc_id) OVER (PARTITION BY norm ORDER BY
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM r""",
 }
 
+ORACLE_SQL["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score FROM v AS a JOIN v AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 3"""
 ORACLE_SQL["op10_jaccard_join"] = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 p AS (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - {jaccard_join.SHINGLE - 1}))) AS i FROM d WHERE len(w) > 0),

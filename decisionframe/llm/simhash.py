@@ -205,7 +205,8 @@ def _entries(radius: int, blocks: int, shards: int):
         shard = ((out["key"] >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         out, shard = out[order], shard[order]
-        cuts = [c for a, b in zip(s := [*np.flatnonzero(np.diff(shard, prepend=-1)).tolist(), len(shard)], s[1:], strict=False) for c in range(a, b, NODES // 4)] + [len(shard)]
+        starts = [*np.flatnonzero(np.diff(shard, prepend=-1)).tolist(), len(shard)]
+        cuts = [c for a, b in zip(starts, starts[1:], strict=False) for c in range(a, b, NODES // 4)] + [len(shard)]
         bounds = list(zip(cuts, cuts[1:], strict=False))
         yield pa.record_batch([pa.array([int(shard[a]) for a, _ in bounds], pa.int32()), pa.array([b - a for a, b in bounds], pa.int64()), pa.array([out[a:b].tobytes() for a, b in bounds], pa.binary())], names=["shard", "n", "entries"])
 
