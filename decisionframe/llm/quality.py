@@ -8,7 +8,8 @@ logistic of the log-density difference after a one-dimensional calibration on th
 Defined cases: a null text is empty and gets the score its statistics (all zero) have; labels that
 are null are not learned from, a doc_id with several labels counts as 1 if any is; without labels of
 both classes every score is the share of label 1, or 0.5 if there are none. Repeated rows are scored
-one by one; a null doc_id is not held out. Extra columns are ignored.
+one by one; a null doc_id is not held out. Extra columns are ignored. A very long text is a slice of its own, which takes arrays of a
+byte for each byte and of some words for each word. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, U64, id_array, id_column, slices, text_buffer, word_bounds, word_hashes
+from .common import IS_SPACE, STEP, U64, id_array, id_column, slices, text_buffer, word_bounds, word_hashes
 from .langid import held_out
 from .repeats import WORDS
 
@@ -44,14 +45,19 @@ ODD_END = ODD | _class(b"!")
 
 
 def _per_row(values: np.ndarray, off: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
-    return total[off[1:]] - total[off[:-1]]
+    out, some = np.zeros(len(off) - 1), off[:-1] < off[1:]
+    if some.any():
+        out[some] = np.add.reduceat(values, off[:-1][some], dtype=np.float64)
+    return out
 
 
 def _distinct(rows: np.ndarray, keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """For each row, how many distinct keys it has and how often the most frequent one."""
     if not len(keys):
         return np.zeros(n), np.zeros(n)
+    if n == 1:  # a long text
+        sizes = np.unique(keys, return_counts=True)[1]
+        return np.array([float(len(sizes))]), np.array([float(sizes.max())])
     at = np.lexsort((keys, rows))
     r, k = rows[at], keys[at]
     new = np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])])
@@ -87,8 +93,10 @@ def statistics(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     line_row = np.repeat(np.arange(n), np.diff(lines))
     distinct_lines, _ = _distinct(line_row, word_hashes(data, line_starts, line_ends, WORDS), n)
     n_lines = np.diff(lines).astype(float)
-    byte_row = np.repeat(np.arange(n, dtype=np.int64), np.diff(off))
-    histogram = np.bincount(byte_row << 8 | data, minlength=n << 8).reshape(n, 256).astype(float) if n else np.zeros((0, 256))
+    histogram = np.zeros((n, 256))
+    for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):
+        for low in range(a, b, STEP):  # counting widens what it counts to eight bytes
+            histogram[i] += np.bincount(data[low : min(b, low + STEP)], minlength=256)
     p = histogram / np.maximum(size, 1)[:, None]
     entropy = -(p * np.log2(np.where(p > 0, p, 1))).sum(axis=1)
     ratio = lambda a, b: a / np.maximum(b, 1)
