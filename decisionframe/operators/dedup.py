@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 from ..functions.hashing import h60, sha256
 from ..functions.text import norm_text
 
-BANDS, MOST_BITS = 4, 3
+MOST_BITS = 3
+#: Of three blocks of a half's 32 bits, each choice of two: in one of the halves two blocks at least are equal where three bits differ.
+TABLES = (0xFFFFFC00, 0xFFE003FF, 0x001FFFFF)
+#: Members of a table's key that are compared with each other by one task; keys with more are split by salt.
+HOT = 2000
 #: Open pairs of the near-duplicate filter that the driver settles at most.
 FEW = 100_000
 
@@ -87,18 +91,27 @@ def distance(a: str, b: str) -> Column:
     return F.bit_count(F.col(f"{a}.hi").bitwiseXOR(F.col(f"{b}.hi"))) + F.bit_count(F.col(f"{a}.lo").bitwiseXOR(F.col(f"{b}.lo")))
 
 
-def banded(sig: DataFrame) -> DataFrame:
-    bands = F.array(*(F.shiftright(F.col(c), s).bitwiseAND(F.lit(0xFFFF)) for c in ("hi", "lo") for s in (16, 0)))
-    return sig.select("*", F.posexplode(bands).alias("band_no", "band"))
-
-
-def near_pairs(sig: DataFrame, key: str, most_bits: int = MOST_BITS) -> DataFrame:
-    """Pairs a < b with signatures at most most_bits apart. With four bands and three bits one band at least is equal.
-    Equal signatures are paired with their smallest key only, so copies never pair with each other."""
-    reps = sig.groupBy("hi", "lo").agg(F.min(key).alias(key))
-    b = banded(reps)
-    x, y = b.alias("x"), b.alias("y")
-    near = x.join(y, (F.col("x.band_no") == F.col("y.band_no")) & (F.col("x.band") == F.col("y.band")) & (F.col(f"x.{key}") < F.col(f"y.{key}")) & (distance("x", "y") <= most_bits))
+def tabled(sig: DataFrame) -> DataFrame:
+    """Each signature once for each table, with its key there: `table` and `block`. Signatures that differ in three bits at
+    most share the key of a table, and keys have 21 or 22 bits, so few others do."""
+    keys = F.array(*(F.col(c).bitwiseAND(F.lit(m)) for c in ("hi", "lo") for m in TABLES))
+    return sig.select("*", F.posexplode(keys).alias("table", "block"))
+
+
+def near_pairs(sig: DataFrame, key: str, most_bits: int = MOST_BITS, hot: int = HOT) -> DataFrame:
+    """Pairs a < b with signatures at most most_bits (three, or fewer) apart. Equal signatures are paired with their smallest
+    key only, so copies never pair with each other. Keys of one member meet nothing and are left out before the join; those with
+    more than `hot` are split: a row goes to one salt, those that it is compared with to all of them."""
+    if most_bits > MOST_BITS:
+        raise ValueError(f"tables are made for {MOST_BITS} bits")
+    reps = shared_table(sig.groupBy("hi", "lo").agg(F.min(key).alias(key)), "signatures")
+    rows = tabled(reps)
+    salts = rows.groupBy("table", "block").agg(F.ceil(F.count("*") / F.lit(hot)).cast("int").alias("salts"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    met = shared_table(rows.join(salts, ["table", "block"]), "tabled")
+    x = met.withColumn("salt", F.pmod(F.xxhash64(key), F.col("salts")).cast("int")).alias("x")
+    y = met.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("y")
+    equal = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("table", "block", "salt")]
+    near = x.join(y, equal[0] & equal[1] & equal[2] & (F.col(f"x.{key}") < F.col(f"y.{key}")) & (distance("x", "y") <= most_bits))
     near = near.select(F.col(f"x.{key}").alias("a"), F.col(f"y.{key}").alias("b"), distance("x", "y").alias("bits")).distinct()
     same = sig.join(reps.withColumnRenamed(key, "_rep"), ["hi", "lo"]).where(F.col(key) > F.col("_rep")).select(F.col("_rep").alias("a"), F.col(key).alias("b"), F.lit(0).alias("bits"))
     return near.unionByName(same)
@@ -113,25 +126,19 @@ def _fallen(pairs: list) -> list[tuple]:
     return [(k,) for k in gone]
 
 
-def near_kept(sig: DataFrame, key: str, most_bits: int = MOST_BITS, few: int = FEW) -> DataFrame:
-    """The keys that a filter keeps that takes rows in key order and compares each with those kept so far: a row falls if an
-    earlier kept row has the same normalised text or a signature at most most_bits away.
+def fallen(pairs: DataFrame, key: str, few: int = FEW) -> DataFrame:
+    """Of pairs a < b (a table), the keys that a filter in key order drops: those with an earlier neighbour that it keeps.
 
-    Rows with equal signatures or texts stand or fall with the first of them that is kept, so the rounds run on
-    representatives: each round drops those with an earlier neighbour that is kept, and keeps those without an undecided one.
-    A round settles the smallest undecided key at least, and two links of a chain in key order; the rounds go on until none
-    is undecided, or no more than `few` pairs are open, which the driver settles in key order at once."""
-    by_text = sig.groupBy("ex").agg(F.min(F.struct(key, "hi", "lo")).alias("m")).select(f"m.{key}", "m.hi", "m.lo")
-    reps = shared_table(by_text.groupBy("hi", "lo").agg(F.min(key).alias(key)), "representatives")
-    pairs = shared_table(near_pairs(reps, key, most_bits).select("a", "b"), "pairs")
-    # texts whose first row fell may be kept later by none: equal text means equal signature, so it falls too
+    Each round drops those with an earlier neighbour that has no undecided one itself. A round settles the smallest undecided key
+    at least, and two links of a chain in key order; the rounds go on until none is undecided, or no more than `few` pairs are
+    open, which the driver settles in key order at once."""
     undecided = shared_table(pairs.select(F.col("b").alias(key)).distinct(), "undecided")
-    open_pairs, spark = pairs, sig.sparkSession
+    open_pairs, spark, kind = pairs, pairs.sparkSession, undecided.schema
     folder, written = shared_folder(spark, "falls"), []
     while undecided.take(1):
         last = open_pairs.limit(few + 1).count() <= few
         if last:
-            falls = spark.createDataFrame(_fallen(open_pairs.select("a", "b").collect()), reps.select(key).schema)
+            falls = spark.createDataFrame(_fallen(open_pairs.select("a", "b").collect()), kind)
         else:
             free = open_pairs.join(undecided.select(F.col(key).alias("a")), "a", "left_anti")
             falls = free.select(F.col("b").alias(key)).distinct().join(undecided, key, "left_semi")
@@ -139,10 +146,20 @@ def near_kept(sig: DataFrame, key: str, most_bits: int = MOST_BITS, few: int = F
         written.append(f"{folder}/{len(written)}")
         if last:
             break
-        falls = spark.read.schema(falls.schema).parquet(written[-1])
+        falls = spark.read.schema(kind).parquet(written[-1])
         open_pairs = shared_table(open_pairs.join(falls.select(F.col(key).alias("a")), "a", "left_anti").join(falls.select(F.col(key).alias("b")), "b", "left_anti"), "open")
         left = undecided.join(falls, key, "left_anti")
         blocked = open_pairs.join(left.select(F.col(key).alias("a")), "a", "left_semi").select(F.col("b").alias(key)).distinct()
         undecided = shared_table(left.join(blocked, key, "left_semi"), "undecided")
-    kept = reps.select(key)
-    return kept.join(spark.read.schema(kept.schema).parquet(*written), key, "left_anti") if written else kept
+    return spark.read.schema(kind).parquet(*written) if written else undecided
+
+
+def near_kept(sig: DataFrame, key: str, most_bits: int = MOST_BITS, few: int = FEW) -> DataFrame:
+    """The keys that a filter keeps that takes rows in key order and compares each with those kept so far: a row falls if an
+    earlier kept row has the same normalised text or a signature at most most_bits away. Rows with equal signatures or texts stand or
+    fall with the first of them, so pairs are between first ones only."""
+    # texts whose first row fell may be kept later by none: equal text means equal signature, so it falls too
+    by_text = sig.groupBy("ex").agg(F.min(F.struct(key, "hi", "lo")).alias("m")).select(f"m.{key}", "m.hi", "m.lo")
+    reps = shared_table(by_text.groupBy("hi", "lo").agg(F.min(key).alias(key)), "representatives")
+    pairs = shared_table(near_pairs(reps, key, most_bits).select("a", "b"), "pairs")
+    return reps.select(key).join(fallen(pairs, key, few), key, "left_anti")

@@ -46,16 +46,6 @@ def closable_shards(jobs: DataFrame, outcomes: DataFrame, missing: float = 0.03)
     return done.groupBy("shard").agg(F.count("*").alias("jobs"), F.count("_done").alias("done")).where(F.col("jobs") - F.col("done") <= F.col("jobs") * missing)
 
 
-def near_new(batch: DataFrame, seen: DataFrame, key: str, most_bits: int = 3) -> DataFrame:
-    """Signatures of a micro-batch that no accepted one is near to: an anti-join by bands, for use in foreachBatch."""
-    from ..operators.dedup import banded, distance
-
-    x, y = banded(batch).alias("x"), banded(seen).alias("y")
-    near = x.join(y, (F.col("x.band_no") == F.col("y.band_no")) & (F.col("x.band") == F.col("y.band")) & (distance("x", "y") <= most_bits), "left_semi").select(key).distinct()
-    same = batch.join(seen.select("ex"), "ex", "left_semi").select(key)
-    return batch.join(near.unionByName(same).distinct(), key, "left_anti")
-
-
 def windowed(events: DataFrame, ts: str, size: str, by: str, delay: str | None = None) -> DataFrame:
     """An extension: counts and sums of value by tumbling window and a column, with a watermark on streams."""
     rows = events.withWatermark(ts, delay) if delay else events
