@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,3 +83,28 @@ def fold_labels(rows: DataFrame) -> DataFrame:
     entries = rows.select("source", "ord", F.explode("names").alias("k", "v"))
     last = entries.groupBy("source", "k").agg(F.max_by("v", "ord").alias("v"))
     return last.groupBy("source").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("names"))
+
+
+def fold_levels(rows: DataFrame) -> DataFrame:
+    """Answers (key, ord, names array) to the names of each scale; the last answer stands."""
+    return rows.groupBy("key").agg(F.max_by("names", "ord").alias("names"))
+
+
+def fold_criteria(rows: DataFrame) -> DataFrame:
+    """Answers (question, ord, yes, no) to what yes and no mean for each question; the last answer stands."""
+    return rows.groupBy("question").agg(F.max_by(F.struct("yes", "no"), "ord").alias("c")).select("question", "c.yes", "c.no")
+
+
+def fold_described(rows: DataFrame) -> Lookups:
+    """Answers to a describe plan (kind, key, ord, names map, levels array, yes, no) to the three lookups of a build."""
+    part = lambda kind: rows.where(F.col("kind") == kind)
+    levels = fold_levels(part("levels").select("key", "ord", F.col("levels").alias("names")))
+    return Lookups(fold_labels(part("labels").select(F.col("key").alias("source"), "ord", "names")), levels, fold_criteria(part("criteria").select(F.col("key").alias("question"), "ord", "yes", "no")))
+
+
+class Lookups(NamedTuple):
+    """What records are augmented by: labels (source, names), levels (key, names), criteria (question, yes, no)."""
+
+    labels: DataFrame
+    levels: DataFrame
+    criteria: DataFrame

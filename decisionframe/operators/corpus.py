@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 HISTORY = ("model", "benchmark", "suite", "type", "n", "acc", "macro_f1", "ece", "nll", "majority", "ms", "teacher_acc", "teacher_ms", "when")
 
+#: Lengths of a moving rate's time that a window partition spans.
+FRAME = 60
+
 
 def delete(deleted: DataFrame, rows: DataFrame) -> DataFrame:
     """deleted (id, source) and the rows; an id is deleted once."""
@@ -67,6 +70,18 @@ def ema(rows: DataFrame, by: str, order: str, value: str, a: float = 0.97) -> Da
 
 
 def moving_rate(rows: DataFrame, by: str, ts: str, seconds: int = 120) -> DataFrame:
-    """Rows of the last seconds at each row, per second."""
-    w = Window.partitionBy(by).orderBy(F.unix_timestamp(F.col(ts).cast("timestamp"))).rangeBetween(-seconds, 0)
-    return rows.withColumn("rate", F.count("*").over(w) / F.lit(float(seconds)))
+    """Rows of the last seconds at each row, per second.
+
+    Rows are counted by second first, so a frame has a row for each second at most; and frames are cut at buckets of FRAME times
+    `seconds`: a second counts in its own bucket and, where the next one reaches back to it, there too, but is no row of it. So a type that
+    most rows have is spread over its buckets, and no task holds all of it."""
+    second, wide = F.unix_timestamp(F.col(ts).cast("timestamp")), FRAME * seconds
+    at = rows.withColumn("_second", second)
+    counted = at.groupBy(by, "_second").agg(F.count(F.lit(1)).alias("_n"))
+    own = F.floor(F.col("_second") / F.lit(wide)).cast("long")
+    reach = F.floor((F.col("_second") + F.lit(seconds)) / F.lit(wide)).cast("long")
+    cut = counted.withColumn("_own", own).withColumn("_bucket", F.explode(F.when(F.col("_second").isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.sequence(own, reach))))
+    w = Window.partitionBy(by, "_bucket").orderBy("_second").rangeBetween(-seconds, 0)
+    rates = cut.withColumn("rate", F.sum("_n").over(w) / F.lit(float(seconds))).where(F.col("_own").eqNullSafe(F.col("_bucket"))).select(F.col(by).alias("_by"), F.col("_second").alias("_at"), "rate")
+    same = F.col(by).eqNullSafe(F.col("_by")) & F.col("_second").eqNullSafe(F.col("_at"))
+    return at.join(rates, same).drop("_second", "_by", "_at")

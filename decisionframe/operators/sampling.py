@@ -14,6 +14,11 @@ def bounded_scan(df: DataFrame, key: str, n: int, seed: int = 1234) -> DataFrame
     return df.withColumn("_h", keyed("scan", str(seed), F.col(key))).orderBy("_h", key).limit(n).drop("_h")
 
 
+def bounded_usable(df: DataFrame, usable: Column, key: str, n: int, seed: int = 1234) -> DataFrame:
+    """A benchmark's fixed sample: n usable rows, the first in hash order. What is not usable takes no place."""
+    return bounded_scan(df.where(usable), key, n, seed)
+
+
 def scan_size(want: int) -> int:
     return max(want * 6, 20_000)
 

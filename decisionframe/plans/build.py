@@ -31,18 +31,11 @@ class Config:
     disabled: list[str] = field(default_factory=list)
 
 
-@dataclass
-class Lookups:
-    labels: DataFrame
-    levels: DataFrame
-    criteria: DataFrame
-
-
-def no_lookups(spark) -> Lookups:
-    return Lookups(spark.createDataFrame([], "source string, names map<string,string>"), spark.createDataFrame([], "key string, names array<string>"), spark.createDataFrame([], "question string, yes string, no string"))
+def no_lookups(spark) -> aug.Lookups:
+    return aug.Lookups(spark.createDataFrame([], "source string, names map<string,string>"), spark.createDataFrame([], "key string, names array<string>"), spark.createDataFrame([], "question string, yes string, no string"))
 
 
-def prepared(records: DataFrame, cfg: Config, deleted: DataFrame | None = None, lookups: Lookups | None = None) -> DataFrame:
+def prepared(records: DataFrame, cfg: Config, deleted: DataFrame | None = None, lookups: aug.Lookups | None = None) -> DataFrame:
     """records (RECORD, source_rank, row_ord) after exclusion and augmentation, with `reason`."""
     rows = records
     if cfg.dropped:
@@ -57,9 +50,14 @@ def prepared(records: DataFrame, cfg: Config, deleted: DataFrame | None = None,
     return rows.withColumn("reason", F.when(here, invalid_reason(cfg.max_options)))
 
 
-def build(records: DataFrame, cfg: Config, deleted: DataFrame | None = None, lookups: Lookups | None = None, repeat: bool = True) -> DataFrame:
-    """The training set with `split` and `rep`. The first row of a key by (source_rank, row_ord) wins."""
+def build(records: DataFrame, cfg: Config, deleted: DataFrame | None = None, lookups: aug.Lookups | None = None, repeat: bool = True, texts: bool = True) -> DataFrame:
+    """The training set with `split` and `rep`. The first row of a key by (source_rank, row_ord) wins. Without texts the same rows
+    come with id, source, kind and type only, as statistics need them: texts then end with their key, before the shuffle."""
     rows = prepared(records, cfg, deleted, lookups).where("reason = 'ok'").drop("reason")
+    if not texts:
+        keyed_rows = rows.select("id", "source", "kind", "type", "source_rank", "row_ord", record_key().alias("_key_of"))
+        best = first_wins(keyed_rows, F.col("_key_of"), "source_rank", "row_ord").drop("_key_of").withColumn("split", split(cfg))
+        return repeat_synthetic(best, cfg.synth_repeat if repeat else 1)
     rows = first_wins(rows, record_key(), "source_rank", "row_ord")
     rows = shuffle_options(rows)
     target = F.coalesce("target", hard_target(F.col("type"), F.size("options"), F.col("answer"), cfg.label_smoothing, cfg.neighbour_mass))
@@ -81,7 +79,7 @@ def source_stats(built: DataFrame) -> DataFrame:
     return built.where("rep = 1").groupBy("source").agg(F.count("*").alias("n"))
 
 
-def loss_stats(records: DataFrame, built: DataFrame, cfg: Config, deleted: DataFrame | None = None, lookups: Lookups | None = None) -> DataFrame:
+def loss_stats(records: DataFrame, built: DataFrame, cfg: Config, deleted: DataFrame | None = None, lookups: aug.Lookups | None = None) -> DataFrame:
     """What fell: invalid by reason, and duplicates."""
     rows = prepared(records, cfg, deleted, lookups)
     invalid = rows.where("reason <> 'ok'").groupBy("reason").agg(F.count("*").alias("n"))
