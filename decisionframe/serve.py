@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from .functions.arrays import argmax, chosen, concentration, expected, sureness
 from .functions.text import infer_type
@@ -126,3 +127,26 @@ def decide(rows: DataFrame, scorer: Scorer | None = None, temperatures: dict[str
     filled = typed.withColumn("options", F.when(F.col("options").isNull() | (F.size("options") == 0), F.array(F.lit("yes"), F.lit("no"))).otherwise(F.col("options")))
     scored = score(filled, scorer or LexicalScorer(), temperatures)
     return scored.withColumns({"choice": F.get("options", argmax(F.col("p"))), "confidence": F.when(F.col("type") == "multi", sureness(F.col("p"))).otherwise(concentration(F.col("p")))})
+
+
+def request_file(spark: SparkSession, source: str, target: str, scorer: Scorer | None = None, temperatures: dict[str, float] | None = None) -> None:
+    """A job over JSON lines of requests: target is replaced by their answers, one line a request."""
+    _answered(spark.read.schema(REQUEST).json(source), target, scorer, temperatures)
+
+
+def request_stream(spark: SparkSession, source: str, target: str, checkpoint: str, scorer: Scorer | None = None, temperatures: dict[str, float] | None = None, files: int = 100) -> StreamingQuery:
+    """The same for the files that are in source now and were not there at earlier starts. A batch's answers are target/batch=<id>,
+    replaced if the batch runs again, so each request is answered once there whatever breaks off."""
+    rows = spark.readStream.schema(REQUEST).option("maxFilesPerTrigger", files).json(source)
+    answer = lambda df, k: _answered(df, f"{target}/batch={k}", scorer, temperatures)
+    return rows.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _answered(requests: DataFrame, target: str, scorer: Scorer | None, temperatures: dict[str, float] | None) -> None:
+    """Lines that are no request, or have no questions, have no answers, nor has a request without an id."""
+    ask(requests.where("request_id is not null"), scorer, temperatures).write.mode("overwrite").json(target)
+
+
+def read_answers(spark: SparkSession, target: str) -> DataFrame:
+    """request_id, answers of a request job, of either kind."""
+    return spark.read.schema(f"request_id string, answers map<string,{ANSWER}>").json(target).select("request_id", "answers")
