@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .functions import arrays as A
 from .functions import text as X
 from .functions.hashing import keyed, u01
-from .operators import augment, calibrate, corpus, coverage, dedup, filters, graph, metrics, reports, sampling
+from .operators import augment, calibrate, corpus, coverage, dedup, filters, graph, metrics, reports, sampling, statistics
 from .plans import build as plan
 from .schema import invalid_reason
 from .sources import mappers as M
@@ -293,7 +293,13 @@ def simhash_pairs(spark, d):
     return dedup.near_pairs(dedup.shared_table(document_signatures(spark, d), "signatures"), "doc_id").select("a", "b", F.col("bits").cast("long").alias("bits"))
 
 
-@query("near_dup_kept")
+KEPT = f"""WITH RECURSIVE {SIGNATURES}, r AS (SELECT CAST(hi AS BIGINT) AS hi, CAST(lo AS BIGINT) AS lo, min(doc_id) AS doc_id FROM sig GROUP BY ALL),
+n AS (SELECT b.doc_id AS doc_id, list(a.doc_id) AS before, row_number() OVER (ORDER BY b.doc_id) AS k FROM r AS a JOIN r AS b ON a.doc_id < b.doc_id AND bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) <= 3 GROUP BY b.doc_id),
+g AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS gone UNION ALL SELECT n.k, CASE WHEN len(list_filter(before, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, doc_id) ELSE gone END FROM g JOIN n ON n.k = g.k + 1)
+SELECT doc_id FROM r WHERE NOT list_contains((SELECT arg_max(gone, k) FROM g), doc_id)"""
+
+
+@query("near_dup_kept", KEPT)
 def near_dup_kept(spark, d):
     return dedup.near_kept(dedup.shared_table(document_signatures(spark, d), "signatures"), "doc_id")
 
@@ -321,17 +327,17 @@ s AS (SELECT *, CASE WHEN source = 'segment' THEN 'zeroshot' WHEN {sql_u01("'spl
 
 @query("build_split_stats", f"WITH {BUILT} SELECT split, type, count(*) AS n, count(*) FILTER (kind = 'synth') AS synthetic FROM s GROUP BY split, type")
 def build_split_stats(spark, d):
-    return plan.split_stats(plan.build(all_records(spark, d).where("kind = 'real'"), CONFIG))
+    return plan.split_stats(plan.build(all_records(spark, d).where("kind = 'real'"), CONFIG, texts=False))
 
 
 @query("build_per_source", f"WITH {BUILT} SELECT source, count(*) AS n FROM s GROUP BY source")
 def build_per_source(spark, d):
-    return plan.source_stats(plan.build(all_records(spark, d).where("kind = 'real'"), CONFIG))
+    return plan.source_stats(plan.build(all_records(spark, d).where("kind = 'real'"), CONFIG, texts=False))
 
 
 @query("build_with_synthetic")
 def build_with_synthetic(spark, d):
-    return plan.split_stats(plan.build(all_records(spark, d), CONFIG))
+    return plan.split_stats(plan.build(all_records(spark, d), CONFIG, texts=False))
 
 
 @query("hard_targets", """SELECT o_orderkey, round(CASE k WHEN 0 THEN .97 * .85 + .006 WHEN 1 THEN .97 * (CASE WHEN p IN (0, 4) THEN .15 ELSE .075 END) + .006 ELSE .006 END, 6) AS beside, round(.97 * .85 + .006, 6) AS own
@@ -548,10 +554,11 @@ def permutation_agreement(spark, d):
 # --- filters, corpus, graph, time -----------------------------------------------------------------------------------------
 
 
-@query("audit_table", "SELECT source, count(*) AS n, round(avg(quality), 6) AS agree, 0.5 AS chance FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY source")
+@query("audit_table", "SELECT source, count(*) AS n, round(avg(quality), 6) AS agree, round(avg(toxic), 6) AS p, round(avg(1.0 / (1 + d.doc_id % 4)), 6) AS chance FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY source")
 def audit_table(spark, d):
     rows = table(spark, d, "documents").select("doc_id", "source").join(table(spark, d, "labels"), "doc_id")
-    return rows.groupBy("source").agg(F.count("*").alias("n"), F.round(F.avg("quality"), 6).alias("agree"), F.lit(0.5).alias("chance"))
+    audited = rows.select("source", F.col("quality").alias("agree"), F.col("toxic").alias("p"), (1.0 / (1 + F.col("doc_id") % 4)).alias("chance"))
+    return statistics.audit_table(audited).select("source", "n", r6("agree"), r6("p"), r6("chance"))
 
 
 @query("audit_dropped", "SELECT lang FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY lang HAVING count(*) >= 20 AND avg(toxic) < 0.5 - 0.15")
@@ -613,7 +620,55 @@ def top_answers(spark, d):
 
 @query("corpus_statistics", "SELECT lang, source, count(*) AS n, round(avg(n_chars), 6) AS mean, round(median(n_chars), 6) AS median, round(quantile_cont(n_chars, .95), 6) AS p95, round(avg(CASE WHEN n_chars >= 512 THEN 1.0 ELSE 0.0 END), 6) AS long_share FROM documents GROUP BY lang, source")
 def corpus_statistics(spark, d):
-    return table(spark, d, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"), F.round(F.avg("n_chars"), 6).alias("mean"), F.round(F.median("n_chars"), 6).alias("median"), F.round(F.percentile("n_chars", 0.95), 6).alias("p95"), F.round(F.avg((F.col("n_chars") >= 512).cast("double")), 6).alias("long_share"))
+    rows = statistics.length_statistics(table(spark, d, "documents"), ["lang", "source"], F.col("n_chars"), 512)
+    return rows.select("lang", "source", "n", *(r6(c) for c in ("mean", "median", "p95", "long_share")))
+
+
+def outcomes(spark, d) -> DataFrame:
+    """Labelled documents as outcomes of a synthesis: good ones are accepted."""
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    return docs.select(F.col("source").alias("family"), F.col("lang").alias("domain"), F.when(F.col("quality") == 1, "accepted").otherwise("rejected").alias("status"), F.col("text").alias("state"), (F.col("doc_id") % 5 + 1).alias("quality"), (F.col("n_chars") % 100 / 100).alias("p_answer"), F.col("toxic").alias("relabeled"))
+
+
+@query("synth_tried_accepted", "SELECT source AS family, lang AS domain, count(*) AS tried, count(*) FILTER (quality = 1) AS accepted FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE source IS NOT NULL AND lang IS NOT NULL GROUP BY source, lang")
+def synth_tried_accepted(spark, d):
+    return statistics.tried_accepted(outcomes(spark, d), "family", "domain")
+
+
+@query(
+    "synth_accepted_statistics",
+    r"""WITH r AS (SELECT lang, doc_id % 5 + 1 AS q, (n_chars % 100) / 100.0 AS p, toxic, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	
+]+')) AS DOUBLE) AS w FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality = 1)
+SELECT count(*) AS n, round(avg(q), 6) AS quality_mean, round(median(q), 6) AS quality_median, round(avg(p), 6) AS p_answer_mean, round(avg(w), 6) AS words_mean, round(median(w), 6) AS words_median, count(DISTINCT lang) AS domains, count(*) FILTER (toxic = 1) AS relabeled FROM r""",
+)
+def synth_accepted_statistics(spark, d):
+    means = ("quality_mean", "quality_median", "p_answer_mean", "words_mean", "words_median")
+    return statistics.accepted_statistics(outcomes(spark, d)).select("n", *(r6(c) for c in means), "domains", "relabeled")
+
+
+MODELS = ("m1", "m2", "m3", "teacher_t1")
+
+
+@query(
+    "benchmark_overview",
+    f"""WITH h AS (SELECT {sql_list(MODELS)}[d.doc_id % 4 + 1] AS model, source AS benchmark, avg(quality) AS acc, count(*) AS n FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY ALL),
+b AS (SELECT benchmark, arg_max(model, model) AS previous, arg_max(acc, model) AS before FROM h WHERE model IN ('m1', 'm2') GROUP BY benchmark)
+SELECT h.benchmark, h.n, round(h.acc, 6) AS acc, previous, round(h.acc - before, 6) AS delta, round(t.acc, 6) AS teacher_acc FROM h LEFT JOIN b ON b.benchmark = h.benchmark LEFT JOIN h AS t ON t.benchmark = h.benchmark AND t.model = 'teacher_t1' WHERE h.model = 'm3'""",
+)
+def benchmark_overview(spark, d):
+    model = F.element_at(F.array(*map(F.lit, MODELS)), (F.col("doc_id") % 4 + 1).cast("int"))
+    rows = table(spark, d, "documents").select("doc_id", "source").join(table(spark, d, "labels"), "doc_id")
+    history = rows.groupBy(model.alias("model"), F.col("source").alias("benchmark")).agg(F.avg("quality").alias("acc"), F.count("*").alias("n"))
+    of = lambda m: history.where(F.col("model") == m).drop("model")
+    out = statistics.benchmark_overview(of("m3"), history, "m3", of("teacher_t1"))
+    return out.select("benchmark", "n", r6("acc"), "previous", r6("delta"), r6("teacher_acc"))
+
+
+@query("usable_sample", f"SELECT doc_id FROM documents WHERE list_contains({sql_list(LANGS)}, lang) AND n_chars >= 200 ORDER BY {h60("'scan:1234:' || doc_id")}, doc_id LIMIT 300")
+def usable_sample(spark, d):
+    """A benchmark's fixed sample of 300 usable documents."""
+    usable = F.col("lang").isin(LANGS) & (F.col("n_chars") >= 200)
+    return sampling.bounded_usable(table(spark, d, "documents").select("doc_id", "lang", "n_chars"), usable, "doc_id", 300).select("doc_id")
 
 
 def nation_graph(spark, d):
@@ -728,12 +783,26 @@ def ask_many(spark, d):
     return out.select("request_id", F.size("answers").alias("n"), F.element_at("answers", F.lit("broken"))["error"].alias("error"))
 
 
-@query("tournament_choice")
+#: Logits of forty options by the length of the state: four groups of ten, two finalists of each, eight in the last round.
+CUP = """WITH t AS (SELECT conv_id, length('text: ' || arg_min(text, turn)) AS n FROM conversations WHERE role = 'user' AND text IS NOT NULL GROUP BY conv_id),
+z AS (SELECT conv_id, i, i // 10 AS g, ((n * (i + 3)) % 37) / 8.0 AS z FROM t, (SELECT unnest(generate_series(0, 39)) AS i)),
+l AS (SELECT *, exp(z) / sum(exp(z)) OVER (PARTITION BY conv_id, g) AS local, row_number() OVER (PARTITION BY conv_id, g ORDER BY z DESC, i) AS k FROM z),
+f AS (SELECT conv_id, i, exp(z) / sum(exp(z)) OVER (PARTITION BY conv_id) AS pf FROM l WHERE k <= 2),
+s AS (SELECT l.conv_id, l.i, coalesce(f.pf, l.local * max(f.pf / l.local) FILTER (k = 1) OVER (PARTITION BY l.conv_id, g)) AS p FROM l LEFT JOIN f ON f.conv_id = l.conv_id AND f.i = l.i),
+p AS (SELECT conv_id, i, p / sum(p) OVER (PARTITION BY conv_id) AS p FROM s)
+SELECT CAST(conv_id AS VARCHAR) AS request_id, 'topic ' || arg_max(i, (round(p, 12), -i)) AS answer, round(sum(p), 2) AS total, round(max(p), 4) AS top, round(max(p) FILTER (i = 39), 4) AS last FROM p GROUP BY conv_id"""
+
+
+@query("tournament_choice", CUP)
 def tournament_choice(spark, d):
+    from .scorer import CallableScorer
     from .serve import ask
 
+    scorer = CallableScorer(lambda s, q, o: [((len(s) * (int(x.split()[-1]) + 3)) % 37) / 8 for x in o])
+    rows = requests(spark, d).where("state['text'] is not null").withColumn("questions", F.map_filter("questions", lambda k, _: k == "topic"))
     topic = F.element_at("answers", F.lit("topic"))
-    return ask(requests(spark, d)).select("request_id", topic["answer"].alias("answer"), F.round(F.aggregate(F.map_values(topic["probabilities"]), F.lit(0.0), lambda a, x: a + x), 2).alias("total"))
+    p = topic["probabilities"]
+    return ask(rows, scorer).select("request_id", topic["answer"].alias("answer"), F.round(F.aggregate(F.map_values(p), F.lit(0.0), lambda a, x: a + x), 2).alias("total"), F.array_max(F.map_values(p)).alias("top"), F.element_at(p, F.lit("topic 39")).alias("last"))
 
 
 @query("decide_priority", "SELECT 'priority:' || o_orderkey AS id, 'score' AS type FROM orders WHERE TRY_CAST(left(o_orderpriority, 1) AS INTEGER) BETWEEN 1 AND 5")
@@ -760,15 +829,26 @@ def synth_chain(spark, d):
     return synth.make_examples(synth.jobs(spark, 4, 50), synth.FakeTeacher()).groupBy("type", "status", "reason").agg(F.count("*").alias("n"))
 
 
-@query("toy_sources")
+def _drawn(name: str, what: str, n: int) -> str:
+    return f"""({h60(f"'{name}:1234:' || o_orderkey || ':{what}'")} % {n})"""
+
+
+@query(
+    "toy_sources",
+    f"""SELECT 'toy:stock:' || o_orderkey AS id, CASE WHEN {_drawn("stock", "a", 60)} + {_drawn("stock", "b", 60)} >= {_drawn("stock", "c", 120)} THEN '0' ELSE '1' END AS answer, 'ok' AS reason FROM orders
+UNION ALL SELECT 'toy:delay:' || o_orderkey, CAST([0, 1, 2, 2, 3, 4][abs({_drawn("delay", "hour", 11)} - 5) + 1] AS VARCHAR), 'ok' FROM orders
+UNION ALL SELECT 'toy:cheapest:' || o_orderkey, CAST(list_position(p, list_min(p)) - 1 AS VARCHAR), 'ok' FROM (SELECT o_orderkey, list_transform(generate_series(0, {_drawn("cheapest", "k", 4)} + 1), lambda j: (j * ({_drawn("cheapest", "step", 4)} + 1) + {_drawn("cheapest", "base", 20)} + 5) % 5) AS p FROM orders)
+UNION ALL SELECT 'toy:tags:' || o_orderkey, array_to_string(list_filter(generate_series(0, {_drawn("tags", "k", 3)} + 2), lambda j: {h60("'tags:1234:' || o_orderkey || ':there:' || j")} % 2 <> 0), ','), 'ok' FROM orders""",
+)
 def toy_sources(spark, d):
-    from .sources.readers import toy
+    """A toy record of each kind for every order."""
+    from .sources.readers import toy_on
 
     out = None
     for name in ("stock", "cheapest", "tags", "delay"):
-        rows = toy(spark, name, 200)
+        rows = toy_on(table(spark, d, "orders"), name, "o_orderkey")
         out = rows if out is None else out.unionByName(rows)
-    return out.select("source", invalid_reason().alias("reason")).groupBy("source", "reason").agg(F.count("*").alias("n"))
+    return out.select("id", F.array_join("answer", ",").alias("answer"), invalid_reason().alias("reason"))
 
 
 @query("describe_plan", f"SELECT 'labels' AS kind, 'doc' AS key, 4 AS n FROM documents WHERE list_contains({sql_list(LANGS)}, lang) AND {sql_strip('text')} <> '' HAVING count(*) >= 50")
@@ -796,6 +876,137 @@ def stream_jid_dedup_counts(spark, d):
     return spark.read.parquet(f"{base}/out").groupBy("type").agg(F.count("*").alias("n"))
 
 
+@query("stream_near_kept", KEPT)
+def stream_near_kept(spark, d):
+    """The documents' signatures in four batches of ids, filtered as a stream."""
+    from .streaming.near import NearStream
+
+    sig = dedup.shared_table(document_signatures(spark, d).select("doc_id", "hi", "lo"), "signatures")
+    low, high = sig.agg(F.min("doc_id"), F.max("doc_id")).first()
+    stream = NearStream(spark, dedup.shared_folder(spark, "near"), "doc_id")
+    for k in range(4 if low is not None else 0):
+        part = F.least(F.lit(3), F.floor((F.col("doc_id") - low) * 4 / F.lit(high - low + 1)))
+        stream.feed(sig.where(part == k))
+    return stream.kept()
+
+
+SHARDED = f"""j AS (SELECT o_custkey % 16 AS shard, {h60("'try1:' || o_orderkey")} % 100 < CASE WHEN o_custkey % 2 = 0 THEN 1 ELSE 10 END AS e1, {h60("'try2:' || o_orderkey")} % 100 < CASE WHEN o_custkey % 4 = 3 THEN 60 ELSE 5 END AS e2 FROM orders),
+t AS (SELECT shard, count(*) AS n, count(*) FILTER (e1) AS m1, count(*) FILTER (e1 AND e2) AS m2 FROM j GROUP BY shard)"""
+
+
+@query(
+    "shard_states",
+    f"""WITH {SHARDED} SELECT shard, CASE WHEN m1 <= n * 0.03 OR m2 <= n * 0.03 THEN 'closed' ELSE 'open' END AS state, n AS jobs, CASE WHEN m1 <= n * 0.03 THEN m1 ELSE m2 END AS missing,
+CASE WHEN m1 <= n * 0.03 THEN 1 ELSE 2 END AS rounds, CASE WHEN m1 <= n * 0.03 THEN n - m1 WHEN m2 <= n * 0.03 THEN n - m2 ELSE 0 END AS outcomes FROM t""",
+)
+def shard_states(spark, d):
+    """Orders as jobs whose outcomes come in three files, some as errors; what misses is tried once more."""
+    from .streaming.shards import ShardLog
+
+    jobs = dedup.shared_table(table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("jid"), (F.col("o_custkey") % 16).alias("shard"), (F.col("o_custkey") % 4).alias("_kind")), "jobs")
+    base = dedup.shared_folder(spark, "shards")
+    log, schema = ShardLog(jobs, f"{base}/log"), "jid string, shard long, status string"
+
+    def tried(rows: DataFrame, no: int, share) -> DataFrame:
+        fails = keyed(f"try{no}", F.col("jid")) % 100 < share
+        return rows.select("jid", "shard", F.when(fails, "error").otherwise("accepted").alias("status"))
+
+    def run() -> None:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{base}/in")
+        stream.writeStream.foreachBatch(log.commit).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+
+    tried(jobs, 1, F.when(F.col("_kind") % 2 == 0, 1).otherwise(10)).repartition(3).write.json(f"{base}/in")
+    run()
+    again = log.retries(spark).join(jobs.select("jid", "_kind"), "jid")
+    tried(again, 2, F.when(F.col("_kind") == 3, 60).otherwise(5)).repartition(1).write.mode("append").json(f"{base}/in")
+    run()
+    counts = log.closed(spark, "jid string, batch long, status string").groupBy("shard").agg(F.count("*").alias("outcomes"))
+    return log.marks(spark).join(counts, "shard", "left").select("shard", "state", "jobs", "missing", "rounds", F.coalesce("outcomes", F.lit(0)).alias("outcomes"))
+
+
+@query(
+    "stream_feeder",
+    f"""WITH RECURSIVE s AS (SELECT o_orderkey % 20 AS shard, count(*) AS n, count(*) FILTER ({h60("'ok:' || o_orderkey")} % 10 < 6) AS ok FROM orders GROUP BY ALL),
+c AS (SELECT row_number() OVER (ORDER BY shard) AS k, sum(n) OVER (ORDER BY shard) AS fed, sum(ok) OVER (ORDER BY shard) AS ok FROM s UNION ALL SELECT 0, 0, 0),
+goal AS (SELECT CAST(floor(count(*) * 0.4) AS BIGINT) AS goal FROM orders),
+g AS (SELECT CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS before UNION ALL
+  SELECT coalesce(min(CASE WHEN a.ok + (CASE WHEN a.fed >= 20 THEN a.ok / a.fed ELSE 0.5 END) * (b.fed - a.fed) >= goal THEN b.k END), max(b.k)), any_value(g.k)
+  FROM g JOIN c AS a ON a.k = g.k JOIN c AS b ON b.k >= a.k, goal WHERE g.k <> g.before GROUP BY g.k)
+SELECT CAST(c.k AS BIGINT) AS shards, CAST(fed AS BIGINT) AS tried, CAST(ok AS BIGINT) AS accepted, CAST(ok AS BIGINT) >= goal AS reached FROM c, goal WHERE c.k = (SELECT max(k) FROM g)""",
+)
+def stream_feeder(spark, d):
+    """Orders as jobs in twenty shards, fed until two fifths of their number are accepted or expected."""
+    from .streaming.feeder import Feeder
+
+    jobs = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 20).alias("shard"))
+    goal, folder = int(jobs.count() * 0.4), dedup.shared_folder(spark, "feeder")
+    work = lambda rows: rows.withColumn("status", F.when(keyed("ok", F.col("o_orderkey")) % 10 < 6, "accepted").otherwise("rejected"))
+    released = Feeder(jobs, work, goal, folder, lockstep=True).run()
+    done = spark.read.parquet(f"{folder}/progress").agg(F.max("tried").alias("tried"), F.max("accepted").alias("accepted"))
+    return done.select(F.lit(len(released)).cast("long").alias("shards"), F.coalesce("tried", F.lit(0)).alias("tried"), F.coalesce("accepted", F.lit(0)).alias("accepted"), (F.coalesce("accepted", F.lit(0)) >= goal).alias("reached"))
+
+
+@query("stream_bounded_scan", SQL["bounded_scan"])
+def stream_bounded_scan(spark, d):
+    from .streaming.scan import ScanSketch, scan_stream
+
+    path = f"{d}/lineitem.parquet"
+    rows = spark.readStream.schema(table(spark, d, "lineitem").schema).option("maxFilesPerTrigger", 1).parquet(path)
+    folder = dedup.shared_folder(spark, "scan")
+    keyed_rows = rows.select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
+    scan_stream(keyed_rows, folder, "k", 1000).awaitTermination()
+    return ScanSketch(f"{folder}/sketch", "k", 1000).rows(spark).drop("k")
+
+
+@query(
+    "source_markers",
+    f"""WITH n AS (SELECT 'segment' AS source, count(*) AS n FROM customer WHERE list_contains({sql_list(SEGMENTS)}, c_mktsegment) AND trim(c_name) <> '' UNION ALL
+SELECT 'brand', count(*) FROM part WHERE list_contains({sql_list([f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)])}, p_brand) AND trim(p_name) <> '')
+SELECT source, n, 'built' AS first, 'kept' AS second, CASE WHEN source = 'brand' THEN 'built' ELSE 'kept' END AS third FROM n""",
+)
+def source_markers(spark, d):
+    """Two sources built, looked at again, and built again after one of them has other settings."""
+    from .plans import sources as P
+
+    def both(ask: str) -> list[P.Source]:
+        customers = P.Source("segment", lambda s: table(s, d, "customer"), lambda df: M.classes(df, "segment", "c_custkey", ["c_name"], "c_mktsegment", ["Which market segment is this customer in?"], SEGMENTS))
+        parts = P.Source("brand", lambda s: table(s, d, "part"), lambda df: M.classes(df, "brand", "p_partkey", ["p_name"], "p_brand", [ask], [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]), {"ask": ask})
+        return [customers, parts]
+
+    path = dedup.shared_folder(spark, "sources")
+    said = [P.build(spark, both(ask), path) for ask in ("Which brand is this part of?", "Which brand is this part of?", "What brand is this?")]
+    told = spark.createDataFrame([(name, *(x[name] for x in said)) for name in said[0]], "source string, first string, second string, third string")
+    return P.read(spark, path).groupBy("source").agg(F.count("*").alias("n")).join(told, "source")
+
+
+TONES = ("calm", "eager", "formal", "rude")
+
+
+@query(
+    "request_jobs",
+    f"""WITH t AS (SELECT conv_id, length('text: ' || arg_min(text, turn)) AS n FROM conversations WHERE role = 'user' AND text IS NOT NULL GROUP BY conv_id),
+z AS (SELECT conv_id, list_transform([0, 1, 2, 3], lambda i: exp(((n * (i + 3)) % 11) / 2.0)) AS z FROM t)
+SELECT CAST(conv_id AS VARCHAR) AS request_id, {sql_list(TONES)}[list_position(z, list_max(z))] AS answer, round(z[1] / list_sum(z), 4) AS calm, round(z[4] / list_sum(z), 4) AS rude, TRUE AS same FROM z""",
+)
+def request_jobs(spark, d):
+    """The conversations' first requests as JSON lines, answered as one job and as a stream; same tells whether both say the same."""
+    from .scorer import CallableScorer
+    from .serve import read_answers, request_file, request_stream
+
+    turns = table(spark, d, "conversations").where("role = 'user' and text is not null").groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
+    tones = F.create_map(*[F.lit(x) for t in TONES for x in (t, "")])
+    question = F.struct(F.lit("choice").alias("type"), F.lit("What tone is this in?").alias("instructions"), tones.alias("criteria"))
+    rows = turns.select(F.col("conv_id").cast("string").alias("request_id"), F.create_map(F.lit("text"), "text").alias("state"), F.create_map(F.lit("tone"), question).alias("questions"))
+    base, scorer = dedup.shared_folder(spark, "requests"), CallableScorer(lambda s, q, o: [((len(s) * (i + 3)) % 11) / 2 for i in range(len(o))])
+    rows.write.json(f"{base}/in")
+    request_file(spark, f"{base}/in", f"{base}/job", scorer)
+    request_stream(spark, f"{base}/in", f"{base}/stream", f"{base}/state", scorer, files=1).awaitTermination()
+    one, two = (read_answers(spark, f"{base}/{x}").select("request_id", F.element_at("answers", F.lit("tone")).alias(x)) for x in ("job", "stream"))
+    p = F.col("stream.probabilities")
+    both = one.join(two, "request_id", "full")
+    return both.select("request_id", F.col("stream.answer").alias("answer"), *(F.element_at(p, F.lit(t)).alias(t) for t in ("calm", "rude")), F.to_json("job").eqNullSafe(F.to_json("stream")).alias("same"))
+
+
 # --- reports ----------------------------------------------------------------------------------------------------------
 
 

@@ -112,13 +112,13 @@ def render_question(type_: Column, state: Column, question: Column, options: Col
     labels = labels_for(type_, options)
     numbered = lambda sign: F.array_join(F.zip_with(labels, options, lambda k, o: F.concat(k, F.lit(sign), o)), "\n")
     body = (
-        F.when((type_ == "score") & is_digit_scale(options), F.concat(F.lit("OPTIONS:\nReply with one of: "), F.array_join(labels, ", ")))
-        .when(type_ == "score", F.concat(F.lit("SCALE (lowest to highest):\n"), numbered(" = ")))
-        .when(type_ == "multi", F.concat(F.lit("OPTIONS (any number of them may apply, or none):\n"), numbered(") ")))
-        .otherwise(F.concat(F.lit("OPTIONS:\n"), numbered(") ")))
+        F.when((type_ == "score") & is_digit_scale(options), F.concat(F.lit("CHOICES (say one of these): "), F.array_join(labels, ", ")))
+        .when(type_ == "score", F.concat(F.lit("STEPS, from low to high:\n"), numbered(" = ")))
+        .when(type_ == "multi", F.concat(F.lit("CHOICES, of which none, some or all may hold:\n"), numbered(") ")))
+        .otherwise(F.concat(F.lit("CHOICES:\n"), numbered(") ")))
     )
-    context = F.coalesce(F.nullif(state, F.lit("")), F.lit("(no additional context)"))
-    return F.concat(F.lit("CONTEXT:\n"), context, F.lit("\n\nQUESTION: "), question, F.lit("\n\n"), body)
+    context = F.coalesce(F.nullif(state, F.lit("")), F.lit("(nothing is known)"))
+    return F.concat(F.lit("STATE:\n"), context, F.lit("\n\nASKED: "), question, F.lit("\n\n"), body)
 
 
 def with_criteria(question: Column, yes: Column, no: Column) -> Column:
