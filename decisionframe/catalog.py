@@ -16,6 +16,7 @@ from .operators import augment, calibrate, corpus, coverage, dedup, filters, gra
 from .plans import build as plan
 from .schema import invalid_reason
 from .sources import mappers as M
+from .sources.readers import distinct_values
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -188,7 +189,7 @@ def map_multi_flags(spark, d):
 SELECT 'user:' || user_id AS id, len(t) AS n_true FROM u, pool WHERE len(t) <= 7 AND len(p) > 1""")
 def map_multi_types_per_user(spark, d):
     events = table(spark, d, "events").where("event_type is not null")
-    pool = sorted(r[0] for r in events.select("event_type").distinct().limit(1000).collect())
+    pool = distinct_values(events, "event_type", most=1000)["event_type"]
     users = events.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("seen")).withColumn("_text", F.concat(F.lit("user "), F.col("user_id").cast("string")))
     out = M.multi_labels(users, "user", "user_id", ["_text"], F.col("seen"), pool, ["Which events has this user caused?"], most=8, none_rate=0.0)
     return out.select("id", F.size("answer").cast("long").alias("n_true"))
@@ -294,9 +295,9 @@ def simhash_pairs(spark, d):
 
 
 KEPT = f"""WITH RECURSIVE {SIGNATURES}, r AS (SELECT CAST(hi AS BIGINT) AS hi, CAST(lo AS BIGINT) AS lo, min(doc_id) AS doc_id FROM sig GROUP BY ALL),
-n AS (SELECT b.doc_id AS doc_id, list(a.doc_id) AS before, row_number() OVER (ORDER BY b.doc_id) AS k FROM r AS a JOIN r AS b ON a.doc_id < b.doc_id AND bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) <= 3 GROUP BY b.doc_id),
-g AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS gone UNION ALL SELECT n.k, CASE WHEN len(list_filter(before, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, doc_id) ELSE gone END FROM g JOIN n ON n.k = g.k + 1)
-SELECT doc_id FROM r WHERE NOT list_contains((SELECT arg_max(gone, k) FROM g), doc_id)"""
+near AS (SELECT b.doc_id AS doc_id, list(a.doc_id) AS before, row_number() OVER (ORDER BY b.doc_id) AS k FROM r AS a JOIN r AS b ON a.doc_id < b.doc_id AND bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) <= 3 GROUP BY b.doc_id),
+fold AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS gone UNION ALL SELECT near.k, CASE WHEN len(list_filter(before, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, doc_id) ELSE gone END FROM fold JOIN near ON near.k = fold.k + 1)
+SELECT doc_id FROM r WHERE NOT list_contains((SELECT arg_max(gone, k) FROM fold), doc_id)"""
 
 
 @query("near_dup_kept", KEPT)
@@ -637,8 +638,9 @@ def synth_tried_accepted(spark, d):
 
 @query(
     "synth_accepted_statistics",
-    r"""WITH r AS (SELECT lang, doc_id % 5 + 1 AS q, (n_chars % 100) / 100.0 AS p, toxic, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	
-]+')) AS DOUBLE) AS w FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality = 1)
+    r"""WITH r AS (SELECT lang, d.doc_id % 5 + 1 AS q, (n_chars % 100) / 100.0 AS p, toxic, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	
+
+]+')) AS DOUBLE) AS w FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality = 1)
 SELECT count(*) AS n, round(avg(q), 6) AS quality_mean, round(median(q), 6) AS quality_median, round(avg(p), 6) AS p_answer_mean, round(avg(w), 6) AS words_mean, round(median(w), 6) AS words_median, count(DISTINCT lang) AS domains, count(*) FILTER (toxic = 1) AS relabeled FROM r""",
 )
 def synth_accepted_statistics(spark, d):
@@ -950,7 +952,7 @@ def stream_feeder(spark, d):
 def stream_bounded_scan(spark, d):
     from .streaming.scan import ScanSketch, scan_stream
 
-    path = f"{d}/lineitem.parquet"
+    path = f"{d}/lineitem.parque[t]"  # a pattern, as a stream's path may be a file only so
     rows = spark.readStream.schema(table(spark, d, "lineitem").schema).option("maxFilesPerTrigger", 1).parquet(path)
     folder = dedup.shared_folder(spark, "scan")
     keyed_rows = rows.select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
