@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import sigmoid, softmax, total
+from .dedup import shared_table
 from .metrics import f1
 
 THRESHOLDS = [round(0.2 + 0.05 * i, 2) for i in range(9)]
@@ -43,8 +44,8 @@ def temperature_grid(df: DataFrame, grid: list[float]) -> DataFrame:
 
 def fit_temperatures(df: DataFrame, rounds: int = 12, points: int = 9) -> DataFrame:
     """type, temperature by repeated grids around the best point so far: each round is one pass with combined sums and narrows
-    the bracket of log T to two steps, until it is as narrow as 40 golden sections leave it or the rounds are over."""
-    low, high, best = {}, {}, {}
+    the bracket of log T to two steps (the predictions are staged for that), until it is as narrow as 40 golden sections leave it or the rounds are over."""
+    df, low, high, best = shared_table(df, "predictions"), {}, {}, {}
     for r in range(rounds):
         if r and not best:
             break

@@ -20,21 +20,21 @@ from pyspark.sql import functions as F
 from .functions.arrays import sigmoid, softmax
 from .functions.text import norm_text
 from .operators import calibrate, metrics
+from .operators.dedup import shared_table
 
-#: Hash buckets, and words of the state that are crossed with an option's at most.
-BUCKETS, MOST_WORDS = 1 << 16, 200
+#: Hash buckets of the crossed words.
+BUCKETS = 1 << 16
 
 
 def option_rows(records: DataFrame, *keep: str) -> DataFrame:
-    """id, type, place, label, crossed and own words: one row for each option."""
-    words = lambda c, most: F.slice(F.array_distinct(F.filter(F.split(norm_text(c), " "), lambda w: w != "")), 1, most)
-    rows = records.select("id", "type", "answer", *keep, words(F.concat_ws(" ", "state", "question"), MOST_WORDS).alias("_text"), F.posexplode("options").alias("place", "_option"))
-    rows = rows.withColumn("own", words(F.col("_option"), 8))
-    first = F.coalesce(F.get("own", F.lit(0)), F.lit(""))
-    rows = rows.withColumn("_first", first)
+    """id, type, place, label, crossed and own words: one row for each option. All distinct words of the state and the question are
+    crossed with the option as a whole."""
+    words = lambda c: F.array_distinct(F.filter(F.split(norm_text(c), " "), lambda w: w != ""))
+    rows = records.select("id", "type", "answer", *keep, words(F.concat_ws(" ", "state", "question")).alias("_text"), F.posexplode("options").alias("place", "_option"))
+    rows = rows.withColumns({"own": words(F.col("_option")), "_whole": norm_text(F.col("_option"))})
     # whether the state or the question has all words of the option
     named = F.size(F.array_except("own", "_text")) == 0
-    crossed = F.transform("_text", lambda w: F.concat(w, F.lit("|"), F.col("_first")))
+    crossed = F.transform("_text", lambda w: F.concat(w, F.lit("|"), F.col("_whole")))
     return rows.select("id", "type", "place", *keep, F.array_contains("answer", F.col("place")).cast("double").alias("label"), crossed.alias("crossed"), F.concat("own", F.array(F.concat(F.lit("n:"), F.col("place").cast("string")), F.concat(F.lit("named:"), named.cast("string")))).alias("own"))
 
 
@@ -50,14 +50,17 @@ class Model:
 
     def predict(self, records: DataFrame) -> DataFrame:
         """Predictions with id, type, source, z, p, a and y, ready for the metrics."""
-        rows = records.select("id", "type", "source", "answer", F.size("options").alias("_n")).join(self.logits(records), "id")
+        return self.predicted(records.select("id", "type", "source", "answer", F.size("options").alias("_n")).join(self.logits(records), "id"))
+
+    def predicted(self, rows: DataFrame, *keep: str) -> DataFrame:
+        """Predictions of rows that have their logits, z."""
         t = F.lit(1.0)
         for kind, value in self.temperatures.items():
             t = F.when(F.col("type") == kind, value).otherwise(t)
         rows = rows.withColumn("_t", t)
         multi = F.col("type") == "multi"
         y = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.array_contains("answer", i).cast("int"))
-        return rows.select("id", "type", "source", "z", F.when(multi, sigmoid(F.col("z"), F.col("_t"))).otherwise(softmax(F.col("z"), F.col("_t"))).alias("p"), F.when(~multi, F.get("answer", F.lit(0))).alias("a"), F.when(multi, y).alias("y"))
+        return rows.select(*keep, "id", "type", "source", "z", F.when(multi, sigmoid(F.col("z"), F.col("_t"))).otherwise(softmax(F.col("z"), F.col("_t"))).alias("p"), F.when(~multi, F.get("answer", F.lit(0))).alias("a"), F.when(multi, y).alias("y"))
 
     def save(self, path: str) -> None:
         """The pipeline and the temperatures, below path."""
@@ -91,10 +94,12 @@ def calibrated(model: Model, held_back: DataFrame) -> Model:
 
 
 def evaluate(model: Model, splits: DataFrame) -> DataFrame:
-    """split, version (raw or calibrated) and the summary of each: splits are records with `split`."""
-    out = None
+    """split, version (raw or calibrated) and the summary of each: splits are records with `split`. Logits are made once."""
+    asked = splits.where(F.col("split").isin("test", "zeroshot"))
+    rows = asked.select("split", "id", "type", "source", "answer", F.size("options").alias("_n")).join(model.logits(asked), "id")
+    rows, out = shared_table(rows, "logits"), None
     for version, m in (("raw", Model(model.pipeline, {})), ("calibrated", model)):
         for name in ("test", "zeroshot"):
-            rows = metrics.summarize(m.predict(splits.where(F.col("split") == name))).select(F.lit(name).alias("split"), F.lit(version).alias("version"), "*")
-            out = rows if out is None else out.unionByName(rows)
+            part = metrics.summarize(m.predicted(rows.where(F.col("split") == name))).select(F.lit(name).alias("split"), F.lit(version).alias("version"), "*")
+            out = part if out is None else out.unionByName(part)
     return out
