@@ -1,14 +1,14 @@
-"""Substring dedup over words with prefix-partitioned suffix trees.
+"""Substring dedup over words by prefix-partitioned groups of suffixes.
 
-Suffixes (taken at anchors, see repeats.py) are dealt out by prefixes: first by the anchor's
-fingerprint, and a group that is larger than GROUP suffixes is split by longer prefixes, so each
-subtree is built from a group that fits in memory. In a subtree, nodes at the depth of the anchor
-have the anchor's span classes as children; an inner node of depth 20 words or more is a maximal
-repeat, and all its leaves but the first in (doc_id, start) order are removed.
+Suffixes (taken at anchors, see repeats.py) are dealt out by prefixes: first by the anchor's fingerprint, and a group of more
+than GROUP suffixes is split by more bits of it. In a group, suffixes are sorted by the fingerprints of their anchor and of the span that
+follows; equal ones of 20 words or more are repeats, and all but the first in (doc_id, start) order are removed. These groups take the
+place of the subtrees of a suffix tree: they hold its leaves by fingerprint, and no inner nodes or depths, as repeats of one fixed
+length need none.
 
 Defined cases: null text has no words; a document of fewer than 20 words keeps all; a null doc_id
-sorts before all others; rows that repeat a doc_id are texts of their own, in the order of the files, so a
-later one repeats an earlier one; a very long text is a slice of its own and its windows are hashed in steps.
+sorts before all others; rows that repeat a doc_id are texts of their own, in one fixed order (within a file, its own),
+so that all but the first repeat it; a very long text is a slice of its own and its windows are hashed in steps.
 Extra columns are ignored. An empty table gives an empty result.
 """
 

@@ -5,7 +5,8 @@ letter stands right before or after it. A URL whose weight reaches LIMIT is bloc
 or two distinct soft ones.
 
 Defined cases: a null URL or one without "://" has an empty host and path and is judged by the terms
-in it alone; repeated rows are judged one by one; null page_ids stay. Extra columns are ignored.
+in it alone; repeated rows are judged one by one; null page_ids stay. A very long URL is one pass of the automaton. Extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,27 +27,44 @@ RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.
 LOWER = {c: c + 32 for c in range(65, 91)}
 
 
+Terms = tuple[tuple[str, float], ...]
+
+
+def weighted(strict: tuple[str, ...] = STRICT, soft: tuple[str, ...] = SOFT) -> Terms:
+    """Terms with their weights; a term in both lists is strict."""
+    return tuple(({t: LIMIT / 2 for t in soft} | {t: float(LIMIT) for t in strict}).items())
+
+
+def vocabulary(table: DataFrame, most: int = 1_000_000) -> Terms:
+    """Terms with their weights from a table (term, weight), A-Z lower-cased: null and empty terms, and weights that are null or not
+    above 0, have no effect; of a term's weights the largest counts. A table of more than `most` terms raises, as every task gets them."""
+    rows = table.select(F.translate("term", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("t"), F.col("weight").cast("double").alias("w")).where("t <> '' and w > 0")
+    found = rows.groupBy("t").agg(F.max("w").alias("w")).orderBy("t").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"the vocabulary has more than {most} terms")
+    return tuple((r["t"], r["w"]) for r in found)
+
+
 @cache
-def automaton(strict: tuple[str, ...], soft: tuple[str, ...]):
+def automaton(terms: Terms):
     import ahocorasick
 
     found = ahocorasick.Automaton()
-    for weight, terms in ((LIMIT / 2, soft), (LIMIT, strict)):
-        for term in terms:
-            found.add_word(term, (term, weight))
+    for term, weight in terms:
+        found.add_word(term, (term, weight))
     if len(found):
         found.make_automaton()
     return found
 
 
-def weight_of(url: str, strict: tuple[str, ...] = STRICT, soft: tuple[str, ...] = SOFT) -> float:
+def weight_of(url: str, terms: Terms | None = None) -> float:
     """The summed weights of the distinct terms in the URL."""
-    terms = automaton(strict, soft)
-    if not len(terms):
+    found = automaton(weighted() if terms is None else terms)
+    if not len(found):
         return 0.0
     text = url.translate(LOWER)
     seen = {}
-    for end, (term, weight) in terms.iter(text):
+    for end, (term, weight) in found.iter(text):
         start = end + 1 - len(term)
         if not (start and text[start - 1].isalpha()) and not (end + 1 < len(text) and text[end + 1].isalpha()):
             seen[term] = weight
@@ -77,8 +95,9 @@ def rule_for(host: str, path: str, rules: dict[str, list[tuple[str, str]]]) -> t
     return best
 
 
-def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, strict: tuple[str, ...] = STRICT, soft: tuple[str, ...] = SOFT) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict and the vocabulary's weight."""
+def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, terms: Terms | None = None) -> DataFrame:
+    """One row per page: page_id, host, path, rule, verdict and the vocabulary's weight. terms are weighted() words, or a vocabulary()."""
+    shared = pages.sparkSession.sparkContext.broadcast(weighted() if terms is None else terms)
     by_host: dict[str, list[tuple[str, str]]] = {}
     for host, path, verdict in rules:
         by_host.setdefault(host, []).append((path, verdict))
@@ -88,7 +107,7 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, str
             out: list[list] = [[], [], [], [], []]
             for url in batch.column(1).to_pylist():
                 host, path = host_and_path(url)
-                weight = weight_of(url or "", strict, soft)
+                weight = weight_of(url or "", shared.value)
                 rule = rule_for(host, path, by_host)
                 verdict = rule[1] if rule else "block" if weight >= LIMIT else "allow"
                 for c, v in zip(out, (host, path, rule[0] if rule else None, verdict, weight), strict=True):

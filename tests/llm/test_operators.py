@@ -270,6 +270,19 @@ def test_url_filter(spark):
     assert got[12] == ("x.net:80", "/fr/", None, "allow")
 
 
+def test_url_vocabulary_from_a_table(spark):
+    rows = [("Spam", 2.0), ("spam", 1.0), ("eggs", 1.0), ("ham", 1.0), ("no", 0.0), ("", 5.0), (None, 5.0), ("nix", None)]
+    terms = url_filter.vocabulary(spark.createDataFrame(rows, "term string, weight double"))
+    assert terms == (("eggs", 1.0), ("ham", 1.0), ("spam", 2.0))
+    urls = ["http://b.org/SPAM", "http://b.org/eggs", "http://b.org/eggs-ham", "http://b.org/eggs-eggs", "http://b.org/hamster-eggs", "http://b.org/casino", "http://b.org/" + "x" * 100_000 + "/spam"]
+    pages = spark.createDataFrame([(i, u, 7.0) for i, u in enumerate(urls)], "page_id long, url string, weight double")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, terms=terms).collect()}
+    assert [got[i] for i in range(7)] == ["block", "allow", "block", "allow", "allow", "allow", "block"]
+    assert url_filter.judge(pages.limit(0)).collect() == []
+    with pytest.raises(ValueError, match="more than 2"):
+        url_filter.vocabulary(spark.createDataFrame(rows, "term string, weight double"), 2)
+
+
 def test_secret_scan(spark):
     rng = random.Random(4)
     b64 = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(48))
