@@ -31,6 +31,9 @@ class Config:
     disabled: list[str] = field(default_factory=list)
 
 
+Lookups = aug.Lookups
+
+
 def no_lookups(spark) -> aug.Lookups:
     return aug.Lookups(spark.createDataFrame([], "source string, names map<string,string>"), spark.createDataFrame([], "key string, names array<string>"), spark.createDataFrame([], "question string, yes string, no string"))
 
