@@ -59,6 +59,7 @@ NOT_HEX, NOT_TOKEN = table_without(HEX_LETTERS), table_without(TOKEN_LETTERS)
 BASE64 = b"+/0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASE32 = b"234567ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 URL_SAFE = bytes.maketrans(b"-_", b"+/")
+JOINTS = np.frombuffer(b"+/-_", np.uint8)
 PLACE = np.full(256, -1, np.int64)
 PLACE[list(BASE64)] = np.arange(64)
 PLACE[list(b"-_")] = [0, 1]
@@ -104,7 +105,7 @@ def encoding(token: bytes) -> tuple[int, np.ndarray]:
 
 
 def battery(token: bytes) -> dict | None:
-    """The statistics of a candidate and the least of its three p-values as a random string, corrected; None below the least length."""
+    """The statistics of a candidate and the least of its four p-values as a random string, corrected; None below the least length."""
     size, place = encoding(token)
     n = len(place)
     if n < LEAST_TOKEN:
@@ -119,8 +120,21 @@ def battery(token: bytes) -> dict | None:
     runs = math.erfc(abs(2 * changes - (n - 1)) / math.sqrt(2 * (n - 1)))
     # a random string's correlation has mean -1/n and variance of about 1/n
     correlated = math.erfc(abs(serial + 1 / n) * math.sqrt(n / 2))
-    random = min(1.0, 3 * min(uniform_tail(recur, n, size), runs, correlated))
-    return {"band": len(token).bit_length(), "size": size, "n": n, "pairs": recur, "changes": changes, "serial": serial, "random": random}
+    # of 64 letters four join words (+ / - _); more of them than chance has are paths and names
+    raw = np.frombuffer(token.replace(b"=", b""), np.uint8)
+    joints = np.isin(raw, JOINTS) if size == 64 else np.zeros(n, bool)
+    random = min(1.0, 4 * min(uniform_tail(recur, n, size), runs, correlated, binomial_tail(n, int(joints.sum()), 2 / 64)))
+    # as ordinary text a candidate is what stands between its joints
+    body, word = place[~joints], np.cumsum(joints)[~joints]
+    if len(body) < 2:
+        return None
+    seen, inside = np.bincount(body, minlength=size), word[1:] == word[:-1]
+    half, centred = body >= size // 2, body - body.mean()
+    spread = float((centred**2).sum())
+    return {
+        "band": len(token).bit_length(), "size": size, "n": len(body), "pairs": int((seen * (seen - 1)).sum()), "changes": int(((half[1:] != half[:-1]) & inside).sum()),
+        "serial": float((centred[1:] * centred[:-1])[inside].sum()) / spread if spread else 1.0, "random": random,
+    }
 
 
 @dataclass(frozen=True)

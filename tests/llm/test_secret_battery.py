@@ -73,3 +73,17 @@ def test_empty_null_and_long(spark):
     long = "word " * 200_000 + "passwd=abcdef12"
     got = {r["doc_id"]: r for r in S.secret_digest(spark.createDataFrame([(None, None, "x", "y", "z", 1), (1, "", "x", "y", "z", 1), (2, long, None, None, None, None)], schema)).collect()}
     assert got[None]["spans"] == got[1]["spans"] == "" and got[2]["spans"] == f"assign:1000000:{len(long)}"
+
+
+def test_paths_and_names_are_ordinary(spark):
+    rng = random.Random(7)
+    words = "usr local share lib core pkg main config build target node modules dist web assets static include kernel drivers net system common utils service model README v2 x86 2024 release client docs".split()
+    made = {
+        "path": lambda: "/" + "/".join("-".join(rng.choices(words, k=rng.choice((1, 1, 2, 5)))) for _ in range(rng.randint(3, 6))),
+        "snake": lambda: "_".join(rng.choices(words, k=rng.randint(5, 7))), "slug": lambda: "-".join(rng.choices(words, k=rng.randint(5, 8))) + "-" + str(rng.randint(1, 99999)),
+        "secret": lambda: "".join(rng.choices(string.ascii_letters + string.digits, k=rng.randint(24, 40))),
+    }
+    rows = [(i, kind, f"see {made[kind]()} and the rest of it") for i, kind in enumerate(list(made) * 100)]
+    got = S.secret_digest(spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")).where("spans like '%random%'").collect()
+    hit = [rows[r["doc_id"]][1] for r in got]
+    assert hit.count("secret") >= 97 and hit.count("path") <= 3 and len(hit) - hit.count("secret") <= 15, {k: hit.count(k) for k in made}
