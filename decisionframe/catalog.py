@@ -825,10 +825,13 @@ def relevance_filter_topk(spark, d):
 
 @query("synth_chain")
 def synth_chain(spark, d):
+    """A job for every customer, from writing to the near-duplicate filter."""
     from . import synth
 
     workers_import(spark)
-    return synth.make_examples(synth.jobs(spark, 4, 50), synth.FakeTeacher()).groupBy("type", "status", "reason").agg(F.count("*").alias("n"))
+    jobs = synth.jobs_on(table(spark, d, "customer"), "c_custkey", 50)
+    made = dedup.shared_table(synth.make_examples(jobs, synth.FakeTeacher()), "outcomes")
+    return synth.without_near(made).groupBy("type", "status", "reason").agg(F.count("*").alias("n"))
 
 
 def _drawn(name: str, what: str, n: int) -> str:

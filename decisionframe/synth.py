@@ -17,6 +17,7 @@ from .functions.arrays import soft_target
 from .functions.hashing import keyed, pick, u01
 from .functions.text import render_question
 from .operators.filters import accepted, agreement, structure_problem
+from .operators.dedup import near_kept, shared_table, signatures
 from .schema import COLUMNS, invalid_reason, record
 
 #: A small taxonomy; pass your own lists for more.
@@ -29,7 +30,12 @@ FENCE = re.compile(r"^\s*```[a-zA-Z]*\s*|\s*```\s*$")
 
 def jobs(spark: SparkSession, shards: int, size: int, seed: int = 1234, multi_share: float = 0.4) -> DataFrame:
     """shards * size jobs, each from the hash of its shard, place and seed."""
-    rows = spark.range(shards * size).select((F.col("id") / size).cast("long").alias("shard"), (F.col("id") % size).alias("k"))
+    return jobs_on(spark.range(shards * size), "id", size, seed, multi_share)
+
+
+def jobs_on(table: DataFrame, number: str, size: int, seed: int = 1234, multi_share: float = 0.4) -> DataFrame:
+    """A job for each row of a table, told by its number (0 or more, once each); shards are of `size` numbers."""
+    rows = table.select(F.floor(F.col(number) / size).cast("long").alias("shard"), (F.col(number) % size).cast("long").alias("k"))
     key = F.concat_ws(":", F.lit(str(seed)), F.col("shard").cast("string"), F.col("k").cast("string"))
     type_ = F.when(u01("multi", key) < multi_share / 2, "multi").otherwise(pick(["binary", "choice", "score"], "type", key))
     rows = rows.withColumns({"_k": key, "type": type_})
@@ -260,6 +266,17 @@ def salvage(outcomes: DataFrame, sure: float = 0.85) -> DataFrame:
     return rows.where("_fixed is not null").withColumns({"answer": F.col("_fixed"), "status": F.lit("accepted"), "reason": F.lit("ok")}).drop("_fixed")
 
 
+def without_near(outcomes: DataFrame) -> DataFrame:
+    """outcomes whose accepted records that come close to one accepted before (by jid) are rejected as duplicates: state and
+    question are compared, by their signatures."""
+    accepted = outcomes.where("status = 'accepted'")
+    sig = shared_table(signatures(accepted, F.concat_ws(" || ", "state", "question"), "jid"), "signatures")
+    doubled = accepted.select("jid").join(near_kept(sig, "jid"), "jid", "left_anti").select("jid", F.lit(True).alias("_doubled"))
+    seen = outcomes.join(doubled, "jid", "left").withColumn("_doubled", F.coalesce("_doubled", F.lit(False)))
+    told = {"status": F.when(F.col("_doubled"), "rejected").otherwise(F.col("status")), "reason": F.when(F.col("_doubled"), "duplicate").otherwise(F.col("reason"))}
+    return seen.withColumns(told).select(*outcomes.columns)
+
+
 def audit(records: DataFrame, teacher: Teacher) -> DataFrame:
     """id, source, agree, p, chance: a blind judgement of public records. agree is a share for multi."""
     seen = judged(records.select(*COLUMNS), teacher, 1).where("p is not null")
@@ -268,7 +285,3 @@ def audit(records: DataFrame, teacher: Teacher) -> DataFrame:
     single = (F.array_position("p", F.array_max("p")) - 1 == F.get("answer", F.lit(0))).cast("double")
     multi = F.col("type") == "multi"
     return seen.select("id", "source", F.when(multi, share).otherwise(single).alias("agree"), agreement(F.col("type"), F.col("p"), F.col("answer")).alias("p"), F.when(multi, 0.5).otherwise(1.0 / F.size("options")).alias("chance"))
-
-
-def audit_table(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("source").agg(F.count("*").alias("n"), F.avg("agree").alias("agree"), F.avg("p").alias("p"), F.avg("chance").alias("chance"))
