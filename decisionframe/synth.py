@@ -18,6 +18,7 @@ from .functions.hashing import keyed, pick, u01
 from .functions.text import render_question
 from .operators.filters import accepted, agreement, structure_problem
 from .operators.dedup import near_kept, shared_table, signatures
+from .operators.statistics import audit_table as audit_table
 from .schema import COLUMNS, invalid_reason, record
 
 #: A small taxonomy; pass your own lists for more.
