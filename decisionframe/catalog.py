@@ -497,7 +497,11 @@ def multi_threshold_grid(spark, d):
     return calibrate.threshold_grid(multi_predictions(spark, d)).select("threshold", r6("f1"))
 
 
-@query("best_threshold")
+@query(
+    "best_threshold",
+    f"""WITH {PRED}{MULTI}, g AS (SELECT CAST(t AS DOUBLE) AS t, 2.0 * count(*) FILTER (p >= t AND y = 1) / greatest(1, 2 * count(*) FILTER (p >= t AND y = 1) + count(*) FILTER (p >= t AND y = 0) + count(*) FILTER (p < t AND y = 1)) AS f1 FROM mo, (SELECT unnest({calibrate.THRESHOLDS}) AS t) GROUP BY t)
+SELECT CASE WHEN (SELECT count(*) FROM mr) < {calibrate.LEAST_ROWS} THEN 0.5 ELSE arg_max(t, (f1, -t)) END AS threshold FROM g""",
+)
 def best_threshold(spark, d):
     return calibrate.best_threshold(multi_predictions(spark, d))
 
@@ -814,13 +818,20 @@ def decide_priority(spark, d):
     return decide(priority_records(spark, d).select("id", "state", "question", "options")).select("id", "type")
 
 
-@query("relevance_filter_topk")
+@query(
+    "relevance_filter_topk",
+    f"""WITH d AS (SELECT 'doc:' || doc_id AS id, regexp_extract_all(lower({sql_clean(sql_strip('text'), 3000)}), '[\\p{{L}}\\p{{N}}_]+') AS w FROM documents WHERE list_contains({sql_list(LANGS)}, lang) AND {sql_strip('text')} <> ''),
+z AS (SELECT id, 4.0 * (list_contains(w, 'the')::INT + list_contains(w, 'and')::INT + list_contains(w, 'of')::INT) / sqrt(3) AS a, 4.0 * (list_contains(w, 'der')::INT + list_contains(w, 'die')::INT + list_contains(w, 'das')::INT) / sqrt(3) AS b FROM d),
+p AS (SELECT id, 1 / (1 + exp(b - a)) AS p FROM z)
+SELECT id, round(p, 6) AS p FROM p WHERE p >= 0.6 ORDER BY p DESC, id LIMIT 100""",
+)
 def relevance_filter_topk(spark, d):
     from .scorer import LexicalScorer, score
 
     rows = document_records(spark, d).withColumn("options", F.array(F.lit("the and of"), F.lit("der die das")))
     scored = score(rows.select("id", "type", "state", "question", "options"), LexicalScorer())
-    return filters.relevant(scored.select("id", F.get("p", F.lit(0)).alias("p")), 0.6).limit(100)
+    found = filters.relevant(scored.select("id", F.get("p", F.lit(0)).alias("p")), 0.6)
+    return found.select("id", r6("p")).orderBy(F.desc("p"), "id").limit(100)
 
 
 @query("synth_chain")
