@@ -42,6 +42,14 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df's rows dealt out to tasks by the hash of key. A file of one row group is read by one task however it is cut, and what
+    follows on a row without a shuffle would be done by that task alone."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, key)
+
+
 def record_key() -> Column:
     """state, question and options in their order, normalised; the answer is no part of it. Of 256 bits, so that no two of any
     number of different records share one."""
@@ -81,7 +89,8 @@ def _simhashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signatures(df: DataFrame, text: Column, key: str) -> DataFrame:
     """key, the simhash halves hi and lo, and ex, the hash of the normalised text. The texts are normalised in the JVM; hashing
     every gram once and voting by whole arrays is what built-in functions can't do without hashing a gram for each bit."""
-    rows = df.select(F.col(key).cast("string").alias("key"), norm_text(text).alias("text"))
+    rows = spread(df.select(F.col(key).cast("string").alias("key"), text.alias("text")), "key")
+    rows = rows.select("key", norm_text(F.col("text")).alias("text"))
     rows = rows.select("key", "text", h60(F.col("text")).alias("ex"))
     out = rows.mapInArrow(_simhashes, "key string, hi long, lo long, ex long")
     return out.select(F.col("key").cast(df.schema[key].dataType).alias(key), "hi", "lo", "ex")
