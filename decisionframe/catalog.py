@@ -34,6 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are dealt out to tasks, for work on each row that its file's row groups would give to a few."""
+    return dedup.spread(table(spark, sf_dir, name), key)
+
+
 def query(name: str, sql: str | None = None):
     def add(f: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = f
@@ -137,7 +142,7 @@ def map_binary_toxic(spark, d):
 
 
 def toxic_records(spark, d):
-    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    docs = dealt(spark, d, "documents", "doc_id").join(table(spark, d, "labels"), "doc_id")
     return M.binary(docs, "toxic", "doc_id", ["text"], "toxic", 1, TOXIC)
 
 
@@ -155,7 +160,7 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 SELECT id, array_to_string(list_transform(o, lambda x: trim(x)), '|') AS options, CAST(list_position(o, c) - 1 AS VARCHAR) AS answer FROM p""",
 )
 def map_classes_segment(spark, d):
-    out = M.classes(table(spark, d, "customer"), "segment", "c_custkey", ["c_name"], "c_mktsegment", ["Which market segment is this customer in?"], SEGMENTS, most=3)
+    out = M.classes(dealt(spark, d, "customer", "c_custkey"), "segment", "c_custkey", ["c_name"], "c_mktsegment", ["Which market segment is this customer in?"], SEGMENTS, most=3)
     return out.select("id", F.array_join("options", "|").alias("options"), F.array_join("answer", ",").alias("answer"))
 
 
@@ -164,7 +169,7 @@ LANGS = ["de", "en", "es", "fr"]
 
 @query("map_classes_lang_subset", f"""SELECT 'lang:' || doc_id AS id, array_to_string({sql_list(['German', 'English', 'Spanish', 'French'])}, '|') AS options, CAST(list_position({sql_list(LANGS)}, lang) - 1 AS VARCHAR) AS answer FROM documents WHERE list_contains({sql_list(LANGS)}, lang) AND {sql_strip('text')} <> ''""")
 def map_classes_lang_subset(spark, d):
-    out = M.classes(table(spark, d, "documents"), "lang", "doc_id", ["text"], "lang", ["Which language is this text in?"], LANGS, rename={"de": "German", "en": "English", "es": "Spanish", "fr": "French"})
+    out = M.classes(dealt(spark, d, "documents", "doc_id"), "lang", "doc_id", ["text"], "lang", ["Which language is this text in?"], LANGS, rename={"de": "German", "en": "English", "es": "Spanish", "fr": "French"})
     return out.select("id", F.array_join("options", "|").alias("options"), F.array_join("answer", ",").alias("answer"))
 
 
@@ -174,7 +179,7 @@ def map_score_priority(spark, d):
 
 
 def priority_records(spark, d):
-    orders = table(spark, d, "orders").withColumn("_text", F.concat_ws(" ", F.lit("Order of status"), "o_orderstatus", F.lit("and total"), F.col("o_totalprice").cast("decimal(18,2)").cast("string")))
+    orders = dealt(spark, d, "orders", "o_orderkey").withColumn("_text", F.concat_ws(" ", F.lit("Order of status"), "o_orderstatus", F.lit("and total"), F.col("o_totalprice").cast("decimal(18,2)").cast("string")))
     return M.score(orders, "priority", "o_orderkey", ["_text"], F.substring("o_orderpriority", 1, 1), 1, 5, ["How urgent is this order, 1 being most urgent?"])
 
 
@@ -257,7 +262,7 @@ def sample_per_source(spark, d):
 
 
 def document_records(spark, d) -> DataFrame:
-    docs = table(spark, d, "documents")
+    docs = dealt(spark, d, "documents", "doc_id")
     out = M.classes(docs, "doc", "doc_id", ["text"], "lang", ["Which language is this text in?"], LANGS)
     return out.withColumns({"source_rank": F.lit(0), "row_ord": F.split_part("id", F.lit(":"), F.lit(2)).cast("long")})
 
@@ -314,8 +319,8 @@ def option_shuffle_invariant(spark, d):
 def all_records(spark, d) -> DataFrame:
     docs, orders = document_records(spark, d), priority_records(spark, d)
     ranked = lambda df, k: df.withColumns({"source_rank": F.lit(k), "row_ord": F.split_part("id", F.lit(":"), F.lit(2)).cast("long")})
-    customers = M.classes(table(spark, d, "customer"), "segment", "c_custkey", ["c_name"], "c_mktsegment", ["Which market segment is this customer in?"], SEGMENTS)
-    synth = M.classes(table(spark, d, "part"), "part", "p_partkey", ["p_name"], "p_brand", ["Which brand is this part of?"], [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]).withColumn("kind", F.lit("synth"))
+    customers = M.classes(dealt(spark, d, "customer", "c_custkey"), "segment", "c_custkey", ["c_name"], "c_mktsegment", ["Which market segment is this customer in?"], SEGMENTS)
+    synth = M.classes(dealt(spark, d, "part", "p_partkey"), "part", "p_partkey", ["p_name"], "p_brand", ["Which brand is this part of?"], [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]).withColumn("kind", F.lit("synth"))
     return docs.unionByName(ranked(orders, 1)).unionByName(ranked(customers, 2)).unionByName(ranked(synth, 3))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: White space as str.strip() has it: Java's Unicode class.
 _EDGES = r"^(?U:\s)+|(?U:\s)+$"
+#: What clean_text changes is here: control characters and line ends, runs of blanks, white space at an edge.
+_UNCLEAN = r"[\x00-\x1F]|  |^(?U:\s)|(?U:\s)$"
 
 
 def bound(c: Column, use: Callable[[Column], Column]) -> Column:
@@ -29,10 +31,13 @@ def norm_text(c: Column) -> Column:
 def clean_text(c: Column, most: int = 0) -> Column:
     """Line ends to \\n, no control characters, single blanks, at most one empty line; cut after most characters, at the
     last blank if that is beyond four fifths, with " ..." after it. Null becomes ''."""
-    s = F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"\r\n?", "\n")
-    s = F.regexp_replace(s, r"[\x00-\x08\x0B-\x1F]", "")
-    s = F.regexp_replace(F.regexp_replace(s, r"[ \t]+", " "), r"\n{3,}", "\n\n")
-    s = strip(s)
+    def plain(c: Column) -> Column:
+        s = F.regexp_replace(c, r"\r\n?", "\n")
+        s = F.regexp_replace(s, r"[\x00-\x08\x0B-\x1F]", "")
+        s = F.regexp_replace(F.regexp_replace(s, r"[ \t]+", " "), r"\n{3,}", "\n\n")
+        return F.when(c.rlike(_UNCLEAN), strip(s)).otherwise(c)
+
+    s = bound(F.coalesce(c.cast("string"), F.lit("")), plain)
     if not most:
         return s
 
