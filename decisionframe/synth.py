@@ -17,7 +17,7 @@ from .functions.arrays import soft_target
 from .functions.hashing import keyed, pick, u01
 from .functions.text import render_question
 from .operators.filters import accepted, agreement, structure_problem
-from .operators.dedup import near_kept, shared_table, signatures
+from .operators.dedup import near_kept, shared_table, signatures, spread
 from .operators.statistics import audit_table as audit_table
 from .schema import COLUMNS, invalid_reason, record
 
@@ -36,6 +36,8 @@ def jobs(spark: SparkSession, shards: int, size: int, seed: int = 1234, multi_sh
 
 def jobs_on(table: DataFrame, number: str, size: int, seed: int = 1234, multi_share: float = 0.4) -> DataFrame:
     """A job for each row of a table, told by its number (0 or more, once each); shards are of `size` numbers."""
+    table = spread(table.select(F.col(number).alias("number")), "number")
+    number = "number"
     rows = table.select(F.floor(F.col(number) / size).cast("long").alias("shard"), (F.col(number) % size).cast("long").alias("k"))
     key = F.concat_ws(":", F.lit(str(seed)), F.col("shard").cast("string"), F.col("k").cast("string"))
     type_ = F.when(u01("multi", key) < multi_share / 2, "multi").otherwise(pick(["binary", "choice", "score"], "type", key))
@@ -240,11 +242,14 @@ def relabelled(p: Column, sure: float) -> Column:
 
 def make_examples(job_rows: DataFrame, teacher: Teacher, least_p: float = 0.5, least_quality: float = 3.0, sure: float = 0.85, mix: float = 0.6) -> DataFrame:
     """RECORD columns, jid, family, status, reason, p, p_answer, quality: write, parse, check, judge, relabel, grade."""
-    raw = write(job_rows, teacher)
+    # written once: what is read of it, unread or unfit, would else be asked of the teacher three times
+    raw = shared_table(write(job_rows, teacher), "written")
     why = F.create_map(F.lit("family"), "family", F.lit("domain"), "domain", F.lit("difficulty"), "difficulty", F.lit("why"), F.coalesce("why", F.lit("")))
     unread = raw.where("reason <> 'ok'")
     rec = record(raw.where("reason = 'ok'"), id=F.concat(F.lit("syn:"), "jid"), source=F.concat(F.lit("synth:"), "family"), type=F.col("type"), state=F.col("state"), question=F.col("question"), options=F.col("options"), answer=F.col("answer"), kind="synth", meta=why, keep=("jid", "family"))
     rec = rec.withColumn("reason", F.when(invalid_reason() != "ok", invalid_reason()).otherwise(structure_problem()))
+    # so is what is checked: a filter on its reason would clean the texts anew for each rule that names them
+    rec = shared_table(rec, "checked")
     seen = judged(rec.where("reason is null"), teacher)
     ok = lambda: accepted(F.col("type"), F.col("p"), F.col("answer"), least_p)
     fixed = F.when((F.col("type") == "multi") & ~ok(), relabelled(F.col("p"), sure))
