@@ -867,7 +867,7 @@ def toy_sources(spark, d):
 
     out = None
     for name in ("stock", "cheapest", "tags", "delay"):
-        rows = toy_on(table(spark, d, "orders"), name, "o_orderkey")
+        rows = toy_on(dealt(spark, d, "orders", "o_orderkey"), name, "o_orderkey")
         out = rows if out is None else out.unionByName(rows)
     return out.select("id", F.array_join("answer", ",").alias("answer"), invalid_reason().alias("reason"))
 
@@ -990,8 +990,8 @@ def source_markers(spark, d):
     from .plans import sources as P
 
     def both(ask: str) -> list[P.Source]:
-        customers = P.Source("segment", lambda s: table(s, d, "customer"), lambda df: M.classes(df, "segment", "c_custkey", ["c_name"], "c_mktsegment", ["Which market segment is this customer in?"], SEGMENTS))
-        parts = P.Source("brand", lambda s: table(s, d, "part"), lambda df: M.classes(df, "brand", "p_partkey", ["p_name"], "p_brand", [ask], [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]), {"ask": ask})
+        customers = P.Source("segment", lambda s: dealt(s, d, "customer", "c_custkey"), lambda df: M.classes(df, "segment", "c_custkey", ["c_name"], "c_mktsegment", ["Which market segment is this customer in?"], SEGMENTS))
+        parts = P.Source("brand", lambda s: dealt(s, d, "part", "p_partkey"), lambda df: M.classes(df, "brand", "p_partkey", ["p_name"], "p_brand", [ask], [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]), {"ask": ask})
         return [customers, parts]
 
     path = dedup.shared_folder(spark, "sources")
