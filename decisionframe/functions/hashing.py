@@ -21,8 +21,10 @@ def u01(*parts: Column | str) -> Column:
     return (keyed(*parts) % 100000) / F.lit(100000.0)
 
 
-def pick(values: list[str], *parts: Column | str) -> Column:
+def pick(values: list[str | Column], *parts: Column | str) -> Column:
     """One of values, by the hash of the parts."""
+    if len(values) == 1:
+        return F.lit(values[0])
     return F.element_at(F.array(*map(F.lit, values)), (keyed(*parts) % len(values) + 1).cast("int"))
 
 

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space as str.strip() has it: Java's Unicode class.
-_EDGES = r"^(?U:\s)+|(?U:\s)+$"
-#: What clean_text changes is here: control characters and line ends, runs of blanks, white space at an edge.
-_UNCLEAN = r"[\x00-\x1F]|  |^(?U:\s)|(?U:\s)$"
+#: White space as str.strip() has it: the characters of Java's Unicode class.
+_EDGES = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+#: What clean_text changes within a text: control characters and other line ends, runs of blanks and of empty lines.
+_UNCLEAN = r"[\x00-\x09\x0B-\x1F]|  |\n\n\n"
 
 
 def bound(c: Column, use: Callable[[Column], Column]) -> Column:
@@ -19,36 +19,57 @@ def bound(c: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGES, "")
+    return F.btrim(c, F.lit(_EDGES))
+
+
+def blank(c: Column) -> Column:
+    """strip(c) == "", at the first character that is none of white space."""
+    return ~c.rlike(r"(?U:\S)")
 
 
 def norm_text(c: Column) -> Column:
     """Lower case; everything but letters, digits and _ becomes a space; runs of spaces become one; null becomes ''."""
-    plain = F.regexp_replace(F.lower(F.coalesce(c.cast("string"), F.lit(""))), r"[^\p{L}\p{N}_\s]", " ")
-    return F.trim(F.regexp_replace(plain, r"\s+", " "))
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(c.cast("string"), F.lit(""))), r"[^\p{L}\p{N}_]+", " "))
+
+
+def norm_lines(options: Column) -> Column:
+    """norm_text of all options at one look, each on a line of its own. An option that has a line end itself makes more lines
+    than there are options; norms() sees that."""
+    joined = F.lower(F.array_join(options.cast("array<string>"), "\n", ""))
+    return F.split(F.regexp_replace(F.regexp_replace(joined, r"[^\p{L}\p{N}_\n]+", " "), r"(?m)^ | $", ""), "\n")
+
 
+def norms(options: Column, lines: Column) -> Column:
+    """norm_text of each option; lines is norm_lines(options), best a column, as it is named twice."""
+    return F.when(F.size(lines) == F.size(options), lines).otherwise(F.transform(options, norm_text))
 
-def clean_text(c: Column, most: int = 0) -> Column:
+
+def clean_text(c: Column, most: int = 0, constant: bool = False) -> Column:
     """Line ends to \\n, no control characters, single blanks, at most one empty line; cut after most characters, at the
-    last blank if that is beyond four fifths, with " ..." after it. Null becomes ''."""
+    last blank if that is beyond four fifths, with " ..." after it. Null becomes ''. A constant is made a
+    literal again by the optimizer, which leaves lambdas as they are, so there are none in it."""
+    once = (lambda c, use: use(c)) if constant else bound
+
     def plain(c: Column) -> Column:
         s = F.regexp_replace(c, r"\r\n?", "\n")
         s = F.regexp_replace(s, r"[\x00-\x08\x0B-\x1F]", "")
-        s = F.regexp_replace(F.regexp_replace(s, r"[ \t]+", " "), r"\n{3,}", "\n\n")
-        return F.when(c.rlike(_UNCLEAN), strip(s)).otherwise(c)
+        s = F.regexp_replace(F.regexp_replace(s, r"\t[ \t]*| [ \t]+", " "), r"\n{3,}", "\n\n")
+        edges = F.concat(F.substring(c, 1, 1), F.substring(c, -1, 1))
+        return F.when(c.rlike(_UNCLEAN) | edges.rlike(r"(?U:\s)"), strip(s)).otherwise(c)
 
-    s = bound(F.coalesce(c.cast("string"), F.lit("")), plain)
+    s = once(F.coalesce(c.cast("string"), F.lit("")), plain)
     if not most:
         return s
 
+    def head(cut: Column) -> Column:
+        blank = once(F.locate(" ", F.reverse(cut)), lambda back: F.when(back > 0, F.lit(most) - back).otherwise(-1))
+        return once(blank, lambda blank: F.when(blank > 0.8 * most, F.substring(cut, F.lit(1), blank)).otherwise(cut))
+
     def short(s: Column) -> Column:
-        cut = F.substring(s, 1, most)
-        back = F.locate(" ", F.reverse(cut))
-        blank = F.when(back > 0, F.lit(most) - back).otherwise(-1)
-        head = F.when(blank > 0.8 * most, F.substring(cut, F.lit(1), blank)).otherwise(cut)
-        return F.when(F.length(s) > most, F.concat(F.regexp_replace(head, r"(?U:\s)+$", ""), F.lit(" ..."))).otherwise(s)
+        cut = once(F.substring(s, 1, most), head)
+        return F.when(F.length(s) > most, F.concat(F.rtrim(cut, F.lit(_EDGES)), F.lit(" ..."))).otherwise(s)
 
-    return bound(s, short)
+    return once(s, short)
 
 
 def humanize(c: Column) -> Column:
@@ -67,6 +88,14 @@ def first_text(*cs: Column) -> Column:
     return F.coalesce(*(F.nullif(strip(value(c).cast("string")), F.lit("")) for c in cs), F.lit(""))
 
 
+def any_text(*cs: Column) -> Column:
+    """first_text(*cs) != "", without the text."""
+    told = F.lit(False)
+    for c in cs:
+        told = told | F.coalesce(~blank(value(c).cast("string")), F.lit(False))
+    return told
+
+
 def clip(c: Column, most: int) -> Column:
     """The first most characters, with " ..." where something was cut."""
     return F.when(F.length(c) > most, F.concat(F.regexp_replace(F.substring(c, 1, most), r"(?U:\s)+$", ""), F.lit(" ..."))).otherwise(c)

@@ -50,17 +50,17 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(n, key)
 
 
-def record_key() -> Column:
+def record_key(normed: Column | None = None) -> Column:
     """state, question and options in their order, normalised; the answer is no part of it. Of 256 bits, so that no two of any
-    number of different records share one."""
-    options = F.array_join(F.transform("options", norm_text), "|")
+    number of different records share one. normed is the normalised options, where they are there already."""
+    options = F.array_join(F.transform("options", norm_text) if normed is None else normed, "|")
     return sha256(F.concat_ws("|", norm_text(F.col("state")), norm_text(F.col("question")), options))
 
 
-def first_wins(df: DataFrame, key: Column, *order: str) -> DataFrame:
-    """One row for each key, the first by order. An aggregate, so each task sends one row for a key at most and a hot key costs
-    no more than others; a window would gather all its rows."""
-    row = F.struct(*df.columns)
+def first_wins(df: DataFrame, key: Column, *order: str, but: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each key, the first by order, without the columns in `but`. An aggregate, so each task sends one row for a key
+    at most and a hot key costs no more than others; a window would gather all its rows."""
+    row = F.struct(*(c for c in df.columns if c not in but))
     best = df.groupBy(key.alias("_key")).agg(F.min_by(row, F.struct(*order)).alias("_row"))
     return best.select("_row.*")
 

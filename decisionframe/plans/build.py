@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import hard_target
+from ..functions.text import norm_lines, norms
 from ..operators import augment as aug
 from ..operators.dedup import first_wins, record_key
 from ..operators.filters import exclude
@@ -39,7 +40,7 @@ def no_lookups(spark) -> aug.Lookups:
 
 
 def prepared(records: DataFrame, cfg: Config, deleted: DataFrame | None = None, lookups: aug.Lookups | None = None) -> DataFrame:
-    """records (RECORD, source_rank, row_ord) after exclusion and augmentation, with `reason`."""
+    """records (RECORD, source_rank, row_ord) after exclusion and augmentation, with `reason` and the normalised options, `_normed`."""
     rows = records
     if cfg.dropped:
         rows = rows.where(~F.col("source").isin(*cfg.dropped))
@@ -50,7 +51,9 @@ def prepared(records: DataFrame, cfg: Config, deleted: DataFrame | None = None,
     # a column that is not deterministic keeps filters on `reason` above it: below, they would clean every text anew for
     # each time that a rule names it
     here = F.monotonically_increasing_id() >= 0
-    return rows.withColumn("reason", F.when(here, invalid_reason(cfg.max_options)))
+    rows = rows.withColumn("_lines", norm_lines(F.col("options")))
+    rows = rows.withColumn("_normed", norms(F.col("options"), F.col("_lines"))).drop("_lines")
+    return rows.withColumn("reason", F.when(here, invalid_reason(cfg.max_options, F.col("_normed"))))
 
 
 def build(records: DataFrame, cfg: Config, deleted: DataFrame | None = None, lookups: aug.Lookups | None = None, repeat: bool = True, texts: bool = True) -> DataFrame:
@@ -58,10 +61,10 @@ def build(records: DataFrame, cfg: Config, deleted: DataFrame | None = None, loo
     come with id, source, kind and type only, as statistics need them: texts then end with their key, before the shuffle."""
     rows = prepared(records, cfg, deleted, lookups).where("reason = 'ok'").drop("reason")
     if not texts:
-        keyed_rows = rows.select("id", "source", "kind", "type", "source_rank", "row_ord", record_key().alias("_key_of"))
-        best = first_wins(keyed_rows, F.col("_key_of"), "source_rank", "row_ord").drop("_key_of").withColumn("split", split(cfg))
+        keyed_rows = rows.select("id", "source", "kind", "type", "source_rank", "row_ord", record_key(F.col("_normed")).alias("_key_of"))
+        best = first_wins(keyed_rows, F.col("_key_of"), "source_rank", "row_ord", but=("_key_of",)).withColumn("split", split(cfg))
         return repeat_synthetic(best, cfg.synth_repeat if repeat else 1)
-    rows = first_wins(rows, record_key(), "source_rank", "row_ord")
+    rows = first_wins(rows, record_key(F.col("_normed")), "source_rank", "row_ord", but=("_normed",))
     rows = shuffle_options(rows)
     target = F.coalesce("target", hard_target(F.col("type"), F.size("options"), F.col("answer"), cfg.label_smoothing, cfg.neighbour_mass))
     rows = rows.withColumns({"target": target, "split": split(cfg)})

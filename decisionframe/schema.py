@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions.text import clean_text, is_digit_scale, norm_text, strip
+from .functions.hashing import pick
+from .functions.text import blank, clean_text, is_digit_scale, norm_text, strip
 
 TYPES = ("binary", "choice", "score", "multi")
 RECORD = T.StructType(
@@ -27,17 +30,26 @@ COLUMNS = [f.name for f in RECORD.fields]
 MAX_OPTIONS, MAX_STATE, MAX_QUESTION, MAX_OPTION = 10, 3000, 600, 160
 
 
-def record(df: DataFrame, *, id: Column, source: Column | str, type: Column | str, state: Column, question: Column, options: Column, answer: Column, kind: str = "real", target: Column | None = None, meta: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of df as records with cleaned text. answer is an array of places, or one place."""
+def record(df: DataFrame, *, id: Column, source: Column | str, type: Column | str, state: Column, question: Column | Sequence[str], options: Column | Sequence[str | Column], answer: Column, kind: str = "real", target: Column | None = None, meta: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of df as records with cleaned text. answer is an array of places, or one place. Of several questions the hash of id picks
+    one. Questions and options given one by one are constants, and cleaned once instead of in each row."""
     text = lambda c: F.lit(c) if isinstance(c, str) else c
+    if isinstance(question, Column):
+        question = clean_text(question, MAX_QUESTION)
+    else:
+        question = pick([clean_text(F.lit(q), MAX_QUESTION, constant=True) for q in question], "question", id)
+    if isinstance(options, Column):
+        options = F.transform(options, lambda o: clean_text(o, MAX_OPTION))
+    else:
+        options = F.array(*(clean_text(F.lit(o), MAX_OPTION, constant=True) for o in options))
     return df.select(
         id.cast("string").alias("id"),
         text(source).alias("source"),
         F.lit(kind).alias("kind"),
         text(type).alias("type"),
         clean_text(state, MAX_STATE).alias("state"),
-        clean_text(question, MAX_QUESTION).alias("question"),
-        F.transform(options, lambda o: clean_text(o, MAX_OPTION)).alias("options"),
+        question.alias("question"),
+        options.alias("options"),
         F.array_sort(F.array_distinct(answer)).cast("array<int>").alias("answer"),
         (F.lit(None) if target is None else target).cast("array<double>").alias("target"),
         (F.lit(None) if meta is None else meta).cast("map<string,string>").alias("meta"),
@@ -49,20 +61,22 @@ def one(place: Column) -> Column:
     return F.array(place.cast("int"))
 
 
-def invalid_reason(most: int = MAX_OPTIONS) -> Column:
-    """'ok', or the first rule that a record breaks."""
+def invalid_reason(most: int = MAX_OPTIONS, normed: Column | None = None) -> Column:
+    """'ok', or the first rule that a record breaks. normed is the normalised options, where they are there already."""
     t, o, a, q, g = (F.col(c) for c in ("type", "options", "answer", "question", "target"))
     n = F.size(o)
     in_range = F.forall(a, lambda x: x.isNotNull() & (x >= 0) & (x < n))
-    digits = F.transform(o, lambda x: x.try_cast("int"))
-    steps = F.forall(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.get(digits, i) == F.get(digits, F.lit(0)) + i)
+    normed = F.transform(o, norm_text) if normed is None else normed
+    digits = F.transform(o, lambda x: x.try_cast("int").cast("long"))
+    first = F.get(o, F.lit(0)).try_cast("int").cast("long")
+    steps = digits == F.sequence(first, first + F.greatest(n - 1, F.lit(0)))
     sum_ = F.aggregate(g, F.lit(0.0), lambda acc, x: acc + x)
     bad = lambda condition: F.coalesce(condition, F.lit(True))
     return (
         F.when(bad(~t.isin(*TYPES)), "bad_type")
-        .when(bad(F.exists(o, lambda x: x.isNull() | (strip(x) == ""))), "bad_options")
+        .when(bad(F.exists(o, lambda x: x.isNull() | blank(x))), "bad_options")
         .when((n < 2) | (n > most), "option_count")
-        .when(F.size(F.array_distinct(F.transform(o, norm_text))) != n, "duplicate_options")
+        .when(F.size(F.array_distinct(normed)) != n, "duplicate_options")
         .when(bad(~in_range | (F.size(F.array_distinct(a)) != F.size(a)) | ((t != "multi") & (F.size(a) != 1))), "answer_range")
         .when(bad(F.length(strip(q)) < 8), "short_question")
         .when(F.col("state").isNull(), "bad_state")
